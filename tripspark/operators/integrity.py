@@ -69,7 +69,7 @@ def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 def count_broken(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """Violations of row rules, all in one pass: one row per rule."""
     counts = df.agg(*[F.count_if(broken).alias(rule) for rule, broken in rules.items()])
-    return counts.unpivot([], list(rules), "rule", "violations")
+    return counts.unpivot([], [F.col(f"`{rule}`") for rule in rules], "rule", "violations")
 
 
 def count_violations(violations: DataFrame, rule: str) -> DataFrame:

@@ -179,7 +179,7 @@ def point_counts(
     points: DataFrame, width: str = "1 minute", slide: str | None = None, quantiles: tuple[float, ...] = ()
 ) -> DataFrame:
     """Points per time window and service, with mean and largest duration; quantiles are approximate."""
-    window = F.window(F.col("time").cast("timestamp"), width, slide)
+    window = F.window("time", width, slide)
     extra = [
         F.percentile_approx("duration", q).alias(f"duration_p{round(q * 100)}") for q in quantiles
     ]

@@ -6,40 +6,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tripspark.operators.booking import booked_rows, last_key, outcome, route_keys
+from tripspark.operators.booking import book, booked_rows, last_key
 from tripspark.sinks.tables import replace_batch
 from tripspark.streaming.files import with_trigger
 
 
-def answer_stream(
-    requests: DataFrame, routes: DataFrame, delay: str = "10 minutes", now: Column | None = None
-) -> DataFrame:
-    """Results of streamed requests (request_id, service, route_id, requested_at) against stored routes.
+def first_requests(requests: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """Streamed requests (request_id, service, route_id, requested_at); an id sent again within `delay` is dropped."""
+    return requests.withWatermark("requested_at", delay).dropDuplicatesWithinWatermark(["request_id"])
 
-    A request id sent again within `delay` is dropped.
-    """
-    once = requests.withWatermark("requested_at", delay).dropDuplicatesWithinWatermark(["request_id"])
-    typed = once.withColumn("route_id", F.col("route_id").try_cast("bigint"))
-    keys = route_keys(routes).withColumn("_found", F.lit(True))
-    return outcome(typed.join(keys, ["service", "route_id"], "left"), now)
-
-
-def _last_before(results: DataFrame, path: str, batch_id: int) -> int:
-    """Highest booking key of earlier batches, so a batch run again gets the same keys."""
-    if batch_id == 0:
-        return 0
-    stored = results.sparkSession.read.parquet(path)
-    return last_key(stored.where(F.col("batch_id") < batch_id))
 
+def write_booking_batch(
+    requests: DataFrame, batch_id: int, routes: DataFrame, out: str, now: Column | None = None
+) -> None:
+    """Results of one batch, then its booked rows.
 
-def write_booking_batch(results: DataFrame, batch_id: int, out: str) -> None:
-    kept = results.persist()
+    Keys go on after those of earlier batches, so a batch run again writes the same keys in the same folders.
+    """
+    spark = requests.sparkSession
+    asked = requests.persist()
     try:
-        replace_batch(kept, f"{out}/results", batch_id)
-        last = _last_before(kept, f"{out}/booked", batch_id)
-        replace_batch(booked_rows(kept, last), f"{out}/booked", batch_id)
+        replace_batch(book(asked, routes, now), f"{out}/results", batch_id)
     finally:
-        kept.unpersist()
+        asked.unpersist()
+    results = spark.read.parquet(f"{out}/results/batch_id={batch_id}")
+    last = 0
+    if batch_id > 0:
+        booked = spark.read.schema("id BIGINT, batch_id INT").parquet(f"{out}/booked")
+        last = last_key(booked.where(F.col("batch_id") < batch_id))
+    replace_batch(booked_rows(results, last), f"{out}/booked", batch_id)
 
 
 def start_bookings(
@@ -52,6 +47,9 @@ def start_bookings(
     now: Column | None = None,
 ) -> StreamingQuery:
     """Results go to `out`/results and booked rows to `out`/booked, one folder per batch."""
-    writer = answer_stream(requests, routes, delay, now).writeStream.option("checkpointLocation", checkpoint)
-    writer = writer.outputMode("append").foreachBatch(lambda rows, batch_id: write_booking_batch(rows, batch_id, out))
-    return with_trigger(writer, trigger).start()
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_booking_batch(batch, batch_id, routes, out, now)
+
+    writer = first_requests(requests, delay).writeStream.option("checkpointLocation", checkpoint)
+    return with_trigger(writer.outputMode("append").foreachBatch(write), trigger).start()
