@@ -94,6 +94,7 @@ def lookup_join(
 
 def fanout_left_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Left outer join of one row per key with any number of rows per key."""
+    right = right.dropna(subset=keys)  # such rows have no partner
     hot = hot_keys(right, keys)
     if not hot:
         return left.join(right, keys, "left")
