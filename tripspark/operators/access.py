@@ -13,9 +13,7 @@ def user_lookup(users: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def role_lookup(user_roles: DataFrame, names: DataFrame) -> DataFrame:
-    return lookup_join(
-        user_roles.select("username", "role"), names.select("username").distinct(), ["username"], "left_semi"
-    )
+    return lookup_join(user_roles.select("username", "role"), names.select("username"), ["username"], "left_semi")
 
 
 def users_with_roles(users: DataFrame, user_roles: DataFrame) -> DataFrame:

@@ -35,10 +35,10 @@ def one_per_request(requests: DataFrame) -> DataFrame:
 
 
 def route_keys(routes: DataFrame) -> DataFrame:
-    """One row per bookable route, named as in requests."""
+    """Keys of bookable routes, named as in requests."""
     return routes.select(
         F.col("service_provider").alias("service"), F.col("route_id").cast("bigint").alias("route_id")
-    ).distinct()
+    )
 
 
 def valid_requests(requests: DataFrame) -> DataFrame:
@@ -76,7 +76,7 @@ def outcome(found: DataFrame, now: Column | None = None) -> DataFrame:
 
 def book(requests: DataFrame, routes: DataFrame, now: Column | None = None) -> DataFrame:
     """One result per request id: booked, missing (no such route) or invalid."""
-    keys = route_keys(routes).withColumn("_found", F.lit(True))
+    keys = route_keys(routes).distinct().withColumn("_found", F.lit(True))
     return outcome(lookup_join(one_per_request(requests), keys, ["service", "route_id"], "left"), now)
 
 

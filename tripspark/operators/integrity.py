@@ -27,17 +27,15 @@ def check_unique(df: DataFrame, keys: list[str], rule: str) -> DataFrame:
 
 def check_foreign_key(child: DataFrame, column: str, parent: DataFrame, parent_column: str, rule: str) -> DataFrame:
     """Child rows whose key has no parent; a NULL key passes."""
-    known = parent.select(F.col(parent_column).alias(column)).distinct()
-    orphans = lookup_join(child.where(F.col(column).isNotNull()), known, [column], "left_anti")
+    known = parent.select(F.col(parent_column).alias(column))
+    orphans = lookup_join(child.where(F.col(column).isNotNull()), known, [column], "left_anti", check_size=True)
     return orphans.select(*child.columns, F.lit(rule).alias("rule"))
 
 
 def check_booking_orphans(booked: DataFrame, routes: DataFrame, rule: str) -> DataFrame:
     """Bookings whose route does not exist at their provider."""
     names = F.create_map(*[F.lit(v) for pair in PROVIDERS.items() for v in pair])
-    known = routes.select(
-        F.try_element_at(names, "service_provider").alias("service_provider"), "route_id"
-    ).distinct()
+    known = routes.select(F.try_element_at(names, "service_provider").alias("service_provider"), "route_id")
     orphans = lookup_join(booked, known, ["service_provider", "route_id"], "left_anti")
     return orphans.select(*booked.columns, F.lit(rule).alias("rule"))
 

@@ -16,8 +16,9 @@ def number_in_groups(
 ) -> DataFrame:
     """Zero-based position in the group's order.
 
-    `chunk` must follow the order and bound the rows of one chunk. Rows are sorted per chunk, and each
-    chunk is shifted by the number of rows before it.
+    `chunk` must follow the order and bound the rows of one chunk; group and chunk must not be NULL. Rows are
+    sorted per chunk, and each chunk is shifted by the number of rows before it. `df` is read twice, the second
+    time for the keys only, so it should be a stored table or a cheap view of one.
     """
     marks = [f"_chunk{i}" for i in range(len(chunk))]
     marked = df.withColumns(dict(zip(marks, chunk)))

@@ -20,7 +20,7 @@ CHUNK_IDS = 1_000_000  # route ids are unique per provider, so this many ids hol
 
 def provider_rank(service_provider: Column) -> Column:
     ranks = F.create_map(*[F.lit(v) for pair in enumerate(PROVIDERS) for v in reversed(pair)])
-    return F.try_element_at(ranks, service_provider)
+    return F.coalesce(F.try_element_at(ranks, service_provider), F.lit(len(PROVIDERS)))
 
 
 def provider_union(routes_by_provider: dict[str, DataFrame]) -> DataFrame:
@@ -59,7 +59,7 @@ def requests_with_routes(requests: DataFrame, routes: DataFrame) -> DataFrame:
 
 def numbered_routes(routes: DataFrame) -> DataFrame:
     """Adds `row_no`, the place in the pair's list: by provider rank, then route id."""
-    chunk = [F.col("provider_rank"), F.floor(F.col("route_id") / CHUNK_IDS)]
+    chunk = [F.col("provider_rank"), F.expr(f"route_id DIV {CHUNK_IDS}")]
     return number_in_groups(routes, PAIR, chunk, ["provider_rank", "route_id"])
 
 

@@ -27,18 +27,20 @@ def _key_text(keys: list[str]) -> Column:
 
 
 def hot_keys(df: DataFrame, keys: list[str]) -> HotKeys:
-    """Heavy keys and their share of the rows, from one pass with a small summary per task.
+    """Heavy keys and their share of the rows.
 
-    A share above HOT_SHARE cannot be held by more than 1/HOT_SHARE keys, which bounds the result.
-    Counts are estimates: a wrong one changes how rows are spread, never the rows.
+    One pass over the key columns counts frequent hashes with a small summary per task. Only where a hash is heavy,
+    a second pass reads its keys. A share above HOT_SHARE cannot be held by more than 1/HOT_SHARE hashes, which
+    bounds the result. Counts are estimates: a wrong one changes how rows are spread, never the rows.
     """
-    row = (
-        df.select(_key_text(keys).alias("key"))
-        .agg(F.count(F.lit(1)).alias("n"), F.expr("approx_top_k(key, 128, 16384)").alias("top"))
-        .first()
-    )
+    hashed = df.select(F.xxhash64(*keys).alias("hash"), *keys)
+    row = hashed.agg(F.count(F.lit(1)).alias("n"), F.expr("approx_top_k(hash, 128, 16384)").alias("top")).first()
     least = max(HOT_ROWS, HOT_SHARE * row["n"])
-    return {tuple(json.loads(t["item"])): t["count"] / row["n"] for t in row["top"] or [] if t["count"] > least}
+    shares = {t["item"]: t["count"] / row["n"] for t in row["top"] or [] if t["count"] > least}
+    if not shares:
+        return {}
+    found = hashed.where(F.col("hash").isin(*shares)).select("hash", _key_text(keys).alias("key")).distinct().collect()
+    return {tuple(json.loads(r["key"])): shares[r["hash"]] for r in found}
 
 
 def is_hot(keys: list[str], hot: HotKeys) -> Column:
@@ -77,11 +79,14 @@ def lookup_join(
 ) -> DataFrame:
     """Join many rows per key on the left with at most one on the right.
 
-    `how` is inner, left, left_semi or left_anti. With `check_size` the right side is counted and
-    broadcast when it is small; set it where that count is cheap next to a shuffle of the left side.
+    `how` is inner, left, left_semi or left_anti; for the last two the right side may repeat keys. With `check_size`
+    the right side is counted, up to the bound, and broadcast when it is small; set it where that is cheap next to a
+    shuffle of the left side.
     """
     if check_size and is_small(right):
         return left.join(F.broadcast(right), keys, how)
+    if how in ("left_semi", "left_anti"):
+        right = right.select(*keys).distinct()
     hot = hot_keys(left, keys)
     if not hot:
         return left.join(right, keys, how)

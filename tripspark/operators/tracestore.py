@@ -66,7 +66,7 @@ def span_names_of_services(spans: DataFrame, annotations: DataFrame, ignore_case
 
 def traces_by_ids(spans: DataFrame, ids: DataFrame) -> DataFrame:
     """Spans of the traces in `ids` (trace_id_high, trace_id)."""
-    return lookup_join(spans, ids.select(*TRACE).distinct(), TRACE, "left_semi")
+    return lookup_join(spans, ids.select(*TRACE), TRACE, "left_semi")
 
 
 def with_annotation_pages(spans: DataFrame, annotations: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:

@@ -15,12 +15,13 @@ from tripspark.operators.cities import city_pair_distance
 from tripspark.operators.lists import PAGE_SIZE, page_of
 from tripspark.operators.routes import PAIR, numbered_routes, route_item, with_rank
 from tripspark.operators.skew import lookup_join
+from tripspark.session import stage
 
 
 def asked_pairs(requests: DataFrame, cities: DataFrame) -> DataFrame:
-    """Distinct pairs with their number of requests, `km`, `distance` and `status`."""
+    """Distinct pairs with their number of requests, `km`, `distance` and `status`; stored, as they are read often."""
     pairs = requests.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("requests"))
-    return city_pair_distance(pairs, cities)
+    return stage(city_pair_distance(pairs, cities), "asked-pairs")
 
 
 def answer_routes(pairs: DataFrame, routes: DataFrame) -> DataFrame:

@@ -80,9 +80,10 @@ UNION ALL SELECT 'annotations length', COUNT(*) FILTER (length(a_key) > 255 OR l
 def integrity_report(t: AnalogTables) -> DataFrame:
     """Violations per rule. Row rules of a table are counted in one pass."""
     cities, users, roles, requests = t.cities(), t.users(), t.user_roles(), t.trip_requests()
-    routes = stage(t.routes(), "checked-routes")  # read by five rules
+    routes = t.stored_routes()
     spans, annotations = t.spans(parents=False), t.annotations()
-    booked = booking.book(t.booking_requests(), routes, F.expr(FIXED_TIME)).where(F.col("status") == "booked")
+    results = booking.book(t.booking_requests(), routes, F.expr(FIXED_TIME))
+    booked = stage(results.where(F.col("status") == "booked"), "checked-bookings")
 
     def null(*columns: str):
         return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])

@@ -96,7 +96,7 @@ FROM v_pairs p LEFT JOIN (
 ON p.origin = l.origin AND p.destination = l.destination""")
 def trip_search(t: AnalogTables) -> DataFrame:
     """Answer pages of every asked pair, the list as JSON text."""
-    answers = trips.trip_search(t.trip_requests(), t.cities(), t.routes(), PAGE_SIZE)
+    answers = trips.trip_search(t.trip_requests(), t.cities(), t.stored_routes(), PAGE_SIZE)
     return answers.withColumn("routes", F.to_json("routes", {"ignoreNullFields": "false"}))
 
 
@@ -110,7 +110,7 @@ FROM v_pairs p LEFT JOIN (
   FROM v_rows GROUP BY ALL) l
 ON p.origin = l.origin AND p.destination = l.destination""")
 def trip_search_json(t: AnalogTables) -> DataFrame:
-    return trip_bodies(trips.trip_search(t.trip_requests(), t.cities(), t.routes(), PAGE_SIZE))
+    return trip_bodies(trips.trip_search(t.trip_requests(), t.cities(), t.stored_routes(), PAGE_SIZE))
 
 
 @query("""
@@ -118,7 +118,7 @@ SELECT origin, destination, distance, row_no, service_provider, route_id, date,
        '/accounting-core-service/' || service_provider || '/' || CAST(route_id AS VARCHAR) || '/book' AS link
 FROM v_rows""")
 def trip_rows_indexed(t: AnalogTables) -> DataFrame:
-    return trips.trip_rows(t.trip_requests(), t.cities(), t.routes())
+    return trips.trip_rows(t.trip_requests(), t.cities(), t.stored_routes())
 
 
 @query("""
