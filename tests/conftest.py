@@ -47,7 +47,7 @@ def routes(spark):
 def force_hot(monkeypatch):
     """Treat a key as heavy when it holds over a tenth of the rows, however few those are."""
     monkeypatch.setattr("tripspark.operators.skew.HOT_ROWS", 2)
-    monkeypatch.setattr("tripspark.operators.skew.HOT_SHARE", 0.1)
+    monkeypatch.setattr("tripspark.operators.skew.HOT_PARTITIONS", 0.4)  # of 4 partitions
     monkeypatch.setattr("tripspark.operators.skew.SMALL_ROWS", 0)
 
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripspark.operators.skew import lookup_join
+from tripspark.session import stage
+
 PAGE_SIZE = 1000
 
 
@@ -28,19 +31,19 @@ def pages(
     rows = df.select(*group, *elements)
     if distinct:
         rows = rows.distinct()
-    large = (
+    large = stage(
         rows.groupBy(*group)
         .agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > page_size)
-        .select(*group, F.ceil(F.col("_n") / page_size).alias("_pages"))
+        .select(*group, F.ceil(F.col("_n") / page_size).alias("_pages")),
+        "large-groups",
     )
     # The task number keeps equal elements of a large group apart.
     place = F.xxhash64(*elements) if distinct else F.xxhash64(*elements, F.spark_partition_id())
     page = F.pmod(F.col("_place"), F.coalesce("_pages", F.lit(1)).cast("bigint")).cast("int")
     item = F.col(elements[0]) if len(elements) == 1 else F.struct(*elements)
     return (
-        rows.withColumn("_place", place)
-        .join(large, group, "left")
+        lookup_join(rows.withColumn("_place", place), large, group, "left", check_size=True)
         .withColumn("page", page)
         .repartition(*[F.col(c) for c in [*group, "page"]])
         .groupBy(*group, "page")

@@ -49,7 +49,7 @@ def previous_in_group(
     hot = hot_keys(df, group)
     if not hot:
         return df.withColumn(name, F.lag(value).over(Window.partitionBy(*group).orderBy(*order)))
-    marked = df.withColumn("_chunk", F.when(is_hot(group, hot), chunk))
+    marked = df.withColumn("_chunk", F.when(is_hot(df, group, hot), chunk))
     keys = [*group, "_chunk"]
     window = Window.partitionBy(*keys).orderBy(*order)
     starts = (

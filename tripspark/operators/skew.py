@@ -7,48 +7,52 @@ for heavy keys first and spread only those. Without heavy keys the plan is the p
 
 from __future__ import annotations
 
-import json
 import math
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-HOT_SHARE = 0.01  # a key with more than this share of all rows is heavy ...
-HOT_ROWS = 1_000_000  # ... once it also has this many rows
+HOT_PARTITIONS = 2.0  # a key is heavy when it has more rows than this many average partitions ...
+HOT_ROWS = 1_000_000  # ... and at least this many
+MAX_HOT = 4000  # heavy keys looked for; rarer keys are left to the plain join
 SMALL_ROWS = 100_000  # tables up to this size may be broadcast
 MAX_SALTS = 512
 
-HotKeys = dict[tuple[str | None, ...], float]
+HotKeys = dict[int, float]  # hash of a heavy key -> share of the rows
 
 
-def _key_text(keys: list[str]) -> Column:
-    return F.to_json(F.array(*[F.col(k).cast("string") for k in keys]))
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def key_hash(df: DataFrame, keys: list[str]) -> Column:
+    """Equal for equal keys, also when whole numbers have different widths on the two sides of a join."""
+
+    def wide(name: str) -> Column:
+        return F.col(name).cast("bigint") if isinstance(df.schema[name].dataType, IntegralType) else F.col(name)
+
+    return F.xxhash64(*[wide(k) for k in keys])
 
 
 def hot_keys(df: DataFrame, keys: list[str]) -> HotKeys:
-    """Heavy keys and their share of the rows.
+    """Hashes of heavy keys, from one pass over the key columns with a small summary per task.
 
-    One pass over the key columns counts frequent hashes with a small summary per task. Only where a hash is heavy,
-    a second pass reads its keys. A share above HOT_SHARE cannot be held by more than 1/HOT_SHARE hashes, which
-    bounds the result. Counts are estimates: a wrong one changes how rows are spread, never the rows.
+    Counts are estimates: a wrong one changes how rows are spread, never the rows. Summaries follow 65,536 keys, which
+    finds every key with a share above 1/MAX_HOT.
     """
-    hashed = df.select(F.xxhash64(*keys).alias("hash"), *keys)
-    row = hashed.agg(F.count(F.lit(1)).alias("n"), F.expr("approx_top_k(hash, 128, 16384)").alias("top")).first()
-    least = max(HOT_ROWS, HOT_SHARE * row["n"])
-    shares = {t["item"]: t["count"] / row["n"] for t in row["top"] or [] if t["count"] > least}
-    if not shares:
-        return {}
-    found = hashed.where(F.col("hash").isin(*shares)).select("hash", _key_text(keys).alias("key")).distinct().collect()
-    return {tuple(json.loads(r["key"])): shares[r["hash"]] for r in found}
-
+    row = (
+        df.select(key_hash(df, keys).alias("hash"))
+        .agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(hash, {MAX_HOT}, 65536)").alias("top"))
+        .first()
+    )
+    share = min(0.25, max(1 / MAX_HOT, HOT_PARTITIONS / _partitions(df)))
+    least = max(HOT_ROWS, share * row["n"])
+    return {t["item"]: t["count"] / row["n"] for t in row["top"] or [] if t["count"] > least}
 
-def is_hot(keys: list[str], hot: HotKeys) -> Column:
-    def one(values: tuple[str | None, ...]) -> Column:
-        same = [F.col(k).cast("string").eqNullSafe(F.lit(v)) for k, v in zip(keys, values)]
-        return reduce(lambda a, b: a & b, same)
 
-    return reduce(lambda a, b: a | b, [one(values) for values in hot])
+def is_hot(df: DataFrame, keys: list[str], hot: HotKeys) -> Column:
+    return key_hash(df, keys).isin(*hot)
 
 
 def is_small(df: DataFrame, rows: int | None = None) -> bool:
@@ -59,8 +63,7 @@ def is_small(df: DataFrame, rows: int | None = None) -> bool:
 
 def _salt_count(df: DataFrame, hot: HotKeys) -> int:
     """Pieces about as large as an average partition."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(MAX_SALTS, math.ceil(partitions * max(hot.values()))))
+    return max(2, min(MAX_SALTS, math.ceil(_partitions(df) * max(hot.values()))))
 
 
 def _spread(df: DataFrame, heavy: Column, salts: int) -> DataFrame:
@@ -91,10 +94,9 @@ def lookup_join(
     if not hot:
         return left.join(right, keys, how)
     salts = _salt_count(left, hot)
-    heavy = is_hot(keys, hot)
-    return (
-        _spread(left, heavy, salts).join(_repeat(right, heavy, salts), [*keys, "_salt"], how).drop("_salt")
-    )
+    spread = _spread(left, is_hot(left, keys, hot), salts)
+    repeated = _repeat(right, is_hot(right, keys, hot), salts)
+    return spread.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
 def fanout_left_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -104,9 +106,13 @@ def fanout_left_join(left: DataFrame, right: DataFrame, keys: list[str]) -> Data
     if not hot:
         return left.join(right, keys, "left")
     salts = _salt_count(right, hot)
-    heavy = is_hot(keys, hot)
-    joined = _repeat(left, heavy, salts).join(
-        _spread(right, heavy, salts).withColumn("_found", F.lit(True)), [*keys, "_salt"], "left"
+    heavy_right = is_hot(right, keys, hot)
+    # As many rows as there are heavy hashes, so at most MAX_HOT unless hashes collide.
+    heavy_keys = right.where(heavy_right).select(*keys).distinct().withColumn("_heavy", F.lit(True))
+    marked = left.join(F.broadcast(heavy_keys), keys, "left")
+    joined = _repeat(marked, F.col("_heavy").isNotNull(), salts).join(
+        _spread(right, heavy_right, salts).withColumn("_found", F.lit(True)), [*keys, "_salt"], "left"
     )
     # A heavy key has rows on the right, so its copies without a partner are leftovers of the spreading.
-    return joined.where(F.col("_found").isNotNull() | ~heavy).drop("_salt", "_found")
+    kept = F.col("_found").isNotNull() | F.col("_heavy").isNull()
+    return joined.where(kept).drop("_salt", "_found", "_heavy")

@@ -9,7 +9,7 @@ from tripspark.functions.times import time_of_micros
 from tripspark.operators import spans, tracestore
 from tripspark.queries.bookings import FIXED_TIME
 from tripspark.queries.registry import query
-from tripspark.session import fresh_path
+from tripspark.session import fresh_path, use_disk_state
 from tripspark.sources.analog import AnalogTables
 from tripspark.streaming import bookings, copy, traces
 from tripspark.streaming.files import UNTIL_DONE, file_stream
@@ -23,7 +23,7 @@ def _as_stream(rows: DataFrame, name: str, time: str | None = None) -> DataFrame
     With `time` (microseconds) one more row follows a day after the last. It moves the watermark past the others, and
     its negative ids match nothing.
     """
-    path = fresh_path(rows.sparkSession, name)
+    path = fresh_path(use_disk_state(rows.sparkSession), name)
     rows.write.parquet(path)
     if time:
         last = rows.agg(F.max(time).alias("_last"))
@@ -72,7 +72,7 @@ def stream_booking_results(t: AnalogTables) -> DataFrame:
     )
     out, checkpoint = _paths(t, "stream-bookings")
     bookings.start_bookings(
-        _as_stream(requests.unionByName(requests), "bookings-in"), t.routes(), out, checkpoint, UNTIL_DONE,
+        _as_stream(requests.unionByName(requests), "bookings-in"), t.stored_routes(), out, checkpoint, UNTIL_DONE,
         now=F.expr(FIXED_TIME),
     ).awaitTermination()
     return t.spark.read.parquet(f"{out}/results").drop("batch_id")

@@ -9,6 +9,9 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def build_session(app: str = "tripspark", master: str | None = None, partitions: int | None = None) -> SparkSession:
     """A session with the settings this package expects; cluster settings stay with spark-submit."""
     builder = (
@@ -16,6 +19,7 @@ def build_session(app: str = "tripspark", master: str | None = None, partitions:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     )
     if master:
         builder = builder.master(master)
@@ -24,6 +28,12 @@ def build_session(app: str = "tripspark", master: str | None = None, partitions:
     return builder.getOrCreate()
 
 
+def use_disk_state(spark: SparkSession) -> SparkSession:
+    """Keep the state of streams in RocksDB, on disk, so it may outgrow the executors' memory."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    return spark
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
     """Stored times have no zone and epoch values are UTC, so the session must be UTC too."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
