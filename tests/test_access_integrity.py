@@ -30,6 +30,13 @@ def test_lookups(spark, users, roles):
     assert rows(access.role_lookup(roles, names)) == [("ann", "ROLE_A"), ("ann", "ROLE_A"), ("ann", "ROLE_B")]
 
 
+def test_lookups_without_case(spark, users, roles):
+    names = spark.createDataFrame([("ANN",)], "username STRING")
+    assert access.user_lookup(users, names).count() == 0
+    assert rows(access.user_lookup(users, names, ignore_case=True)) == [("ann", True)]
+    assert access.role_lookup(roles, names, ignore_case=True).count() == 3
+
+
 def test_access_report(users, roles):
     report = {r["username"]: r["roles"] for r in access.access_report(users, roles).collect()}
     assert report == {"user": ["ROLE_ADMIN"], "ann": ["ROLE_A", "ROLE_B"], "bob": None}

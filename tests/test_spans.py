@@ -168,3 +168,10 @@ def test_insert_ignore(spark, spans, notes):
     kept = insert_ignore(doubled, notes.limit(0), ANNOTATION_KEY)
     assert kept.count() == len(NOTES) + 1  # the two without time are both kept
     assert kept.columns == notes.columns
+
+
+def test_insert_ignore_without_case(spark, notes):
+    new = spark.createDataFrame([note(1, "Key"), note(1, "key"), note(2, "KEY")], struct_of("annotations"))
+    stored = spark.createDataFrame([note(2, "key")], struct_of("annotations"))
+    assert insert_ignore(new, stored, ANNOTATION_KEY).count() == 3
+    assert rows(insert_ignore(new, stored, ANNOTATION_KEY, ignore_case=True), "a_key") == [("Key",)]

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from tripspark.functions.traces import trace_key, trace_key_text
 from tripspark.operators import tracestore
 from tripspark.plans.catalogue import catalogue_of
 from tripspark.schemas import struct_of
-from tripspark.sinks.tables import day_range, write_by_day
+from tripspark.sinks.tables import day_range, expire_days, write_by_day, write_day_table
 
 DAY = 86_400_000_000
 
@@ -185,3 +187,12 @@ def test_days_outside_the_range_are_not_read(spark, spans, tmp_path):
     assert "PartitionFilters: [isnotnull(day" in late._jdf.queryExecution().executedPlan().toString()
     write_by_day(spans.where(f"start_ts >= {DAY}"), path)
     assert spark.read.parquet(path).count() == 5
+
+
+def test_expired_days_are_dropped(spark, spans, tmp_path):
+    spark.sql(f"CREATE DATABASE traces LOCATION '{tmp_path}/traces'")
+    write_day_table(spans.where("start_ts IS NOT NULL"), "traces.spans")
+    assert expire_days(spark, "traces.spans", date(1970, 1, 2)) == [date(1970, 1, 1)]
+    assert [r["id"] for r in spark.table("traces.spans").collect()] == [4]
+    assert expire_days(spark, "traces.spans", date(1970, 1, 2)) == []
+    spark.sql("DROP DATABASE traces CASCADE")

@@ -18,7 +18,7 @@ from tripspark.operators.routes import (
 )
 from tripspark.plans.trips import request_answers, trip_rows, trip_search, with_request
 from tripspark.schemas import TRIP_REQUESTS
-from tripspark.sinks.json_out import trip_bodies
+from tripspark.sinks.json_out import trip_bodies, write_json
 from tripspark.sources.seed import seed_routes, seed_table
 from tripspark.sources.tables import JdbcSource, load_table, lookup
 from tripspark.sources.seed import load_seed
@@ -198,6 +198,13 @@ def test_trip_body(requests, cities, routes):
     }
 
 
+def test_json_output(spark, requests, cities, routes, tmp_path):
+    path = str(tmp_path / "answers")
+    write_json(trip_search(requests, cities, routes).where("origin = 2 AND destination = 3"), path)
+    answer = json.loads(spark.read.text(path).first()[0])
+    assert answer["distance"] == 423.53 and answer["routes"][0]["date"] == "2017-02-03"
+
+
 def test_route_without_date(spark, cities):
     route = spark.createDataFrame(
         [(1, 1, 2, None, "X", 5, "drive-now")],

@@ -3,17 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from tripspark.functions.traces import folded
 from tripspark.operators.lists import PAGE_SIZE, pages
 from tripspark.operators.skew import lookup_join
 
 
-def user_lookup(users: DataFrame, names: DataFrame) -> DataFrame:
-    return users.select("username", "enabled").join(names.select("username"), "username", "left_semi")
+def _rows_of(df: DataFrame, names: DataFrame, ignore_case: bool) -> DataFrame:
+    name = folded(F.col("username"), ignore_case).alias("_name")
+    return lookup_join(df.withColumn("_name", name), names.select(name), ["_name"], "left_semi").drop("_name")
 
 
-def role_lookup(user_roles: DataFrame, names: DataFrame) -> DataFrame:
-    return lookup_join(user_roles.select("username", "role"), names.select("username"), ["username"], "left_semi")
+def user_lookup(users: DataFrame, names: DataFrame, ignore_case: bool = False) -> DataFrame:
+    return _rows_of(users.select("username", "enabled"), names, ignore_case)
+
+
+def role_lookup(user_roles: DataFrame, names: DataFrame, ignore_case: bool = False) -> DataFrame:
+    return _rows_of(user_roles.select("username", "role"), names, ignore_case)
 
 
 def users_with_roles(users: DataFrame, user_roles: DataFrame) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tripspark.functions.text import service_url
 from tripspark.functions.times import day_of_micros
@@ -199,23 +202,24 @@ def point_counts(
 # Keeping and dropping rows
 
 
-def insert_ignore(new: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
+def insert_ignore(new: DataFrame, stored: DataFrame, keys: list[str], ignore_case: bool = False) -> DataFrame:
     """Rows of `new` to append: none with a stored key, and one per key, the smallest.
 
-    Rows with a NULL in the key equal nothing and are all kept.
+    Rows with a NULL in the key equal nothing and are all kept. With `ignore_case` texts in the key are compared
+    without regard to case.
     """
-    rest = [c for c in new.columns if c not in keys]
-    whole = F.lit(True)
-    for k in keys:
-        whole = whole & F.col(k).isNotNull()
+    texts = {f.name for f in new.schema.fields if isinstance(f.dataType, StringType)}
+    marks = {f"_key{i}": folded(F.col(k), ignore_case and k in texts) for i, k in enumerate(keys)}
+    keyed = new.withColumns(marks)
+    whole = reduce(lambda a, b: a & b, [F.col(m).isNotNull() for m in marks])
     one = (
-        new.where(whole)
-        .groupBy(*keys)
-        .agg(F.min(F.struct(*rest)).alias("_row"))
-        .select(*keys, "_row.*")
-        .join(stored.select(*keys), keys, "left_anti")
+        keyed.where(whole)
+        .groupBy(*marks)
+        .agg(F.min(F.struct(*new.columns)).alias("_row"))
+        .join(stored.withColumns(marks).select(*marks), list(marks), "left_anti")
+        .select("_row.*")
     )
-    return one.select(*new.columns).unionByName(new.where(~whole))
+    return one.unionByName(keyed.where(~whole).select(*new.columns))
 
 
 def retain(spans: DataFrame, cutoff: int, column: str = "start_ts") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,22 @@ def write_by_day(spans: DataFrame, path: str, time: str = "start_ts") -> None:
     )
 
 
+def write_day_table(spans: DataFrame, table: str, time: str = "start_ts") -> None:
+    """The same as a catalog table."""
+    by_day = spans.withColumn("day", day_of_micros(F.col(time))).hint("rebalance", "day")
+    by_day.write.mode("append").partitionBy("day").saveAsTable(table)
+
+
+def expire_days(spark: SparkSession, table: str, cutoff: date) -> list[date]:
+    """Drop the days before `cutoff` from a table written by day. Only the list of days is read."""
+    stored = [row["partition"].removeprefix("day=") for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    old = sorted(date.fromisoformat(day) for day in stored if day[:1].isdigit())
+    expired = [day for day in old if day < cutoff]
+    for day in expired:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (day = DATE '{day}')")
+    return expired
+
+
 def day_range(stored: DataFrame, start: int, end: int, time: str = "start_ts") -> DataFrame:
     """Rows of a table written by day within two times (microseconds); other days are not read."""
     days = F.col("day").between(
