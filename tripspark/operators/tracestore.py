@@ -249,5 +249,5 @@ def span_tags(annotations: DataFrame) -> DataFrame:
 
 def span_tag_maps(annotations: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """Tags of each span as a map, in pages."""
-    tags = pages(span_tags(annotations), ANNOTATION_SPAN, ["a_key", "a_value"], "_tags", page_size, distinct=True)
+    tags = pages(span_tags(annotations), ANNOTATION_SPAN, ["a_key", "a_value"], "_tags", page_size)
     return tags.select(*ANNOTATION_SPAN, "page", F.map_from_entries("_tags").alias("tags"))
