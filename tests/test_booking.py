@@ -48,6 +48,11 @@ def test_request_sent_again_books_once(requests, routes):
     assert results.where("status = 'booked'").count() == 2
 
 
+def test_requests_without_id_are_kept(spark, routes):
+    asked = spark.createDataFrame([(None, "drive-now", 1), (None, "drive-now", 2), (None, "x", 1)], BOOKING_REQUESTS)
+    assert sorted(r["status"] for r in book(asked, routes).collect()) == ["booked", "booked", "invalid"]
+
+
 def test_text_ids(spark, routes):
     asked = spark.createDataFrame([(1, "drive-now", "1"), (2, "drive-now", "abc")], "request_id BIGINT, service STRING, route_id STRING")
     assert rows(book(asked, routes), "request_id", "status") == [(1, "booked"), (2, "invalid")]

@@ -23,15 +23,24 @@ def stored_name(service: Column) -> Column:
     return F.try_element_at(names, service)
 
 
+def with_number(requests: DataFrame) -> DataFrame:
+    """Route ids as numbers; other text becomes NULL."""
+    return requests.withColumn("route_id", F.col("route_id").try_cast("bigint"))
+
+
 def one_per_request(requests: DataFrame) -> DataFrame:
-    """A request sent again has the same id and is answered once; of differing copies the smallest counts."""
-    route_id = F.col("route_id").try_cast("bigint").alias("route_id")
-    return (
-        requests.select("request_id", "service", route_id)
+    """A request sent again has the same id and is answered once; of differing copies the smallest counts.
+
+    Requests without id are all kept.
+    """
+    asked = with_number(requests).select("request_id", "service", "route_id")
+    once = (
+        asked.where(F.col("request_id").isNotNull())
         .groupBy("request_id")
         .agg(F.min(F.struct("service", "route_id")).alias("_ask"))
         .select("request_id", "_ask.service", "_ask.route_id")
     )
+    return once.unionByName(asked.where(F.col("request_id").isNull()))
 
 
 def route_keys(routes: DataFrame) -> DataFrame:
@@ -42,11 +51,11 @@ def route_keys(routes: DataFrame) -> DataFrame:
 
 
 def valid_requests(requests: DataFrame) -> DataFrame:
-    return requests.where(known_provider(F.col("service")) & F.col("route_id").isNotNull())
+    return with_number(requests).where(known_provider(F.col("service")) & F.col("route_id").isNotNull())
 
 
 def invalid_requests(requests: DataFrame) -> DataFrame:
-    return requests.where(~known_provider(F.col("service")) | F.col("route_id").isNull())
+    return with_number(requests).where(~known_provider(F.col("service")) | F.col("route_id").isNull())
 
 
 def bookable_requests(requests: DataFrame, routes: DataFrame) -> DataFrame:
@@ -77,7 +86,10 @@ def outcome(found: DataFrame, now: Column | None = None) -> DataFrame:
 def book(requests: DataFrame, routes: DataFrame, now: Column | None = None) -> DataFrame:
     """One result per request id: booked, missing (no such route) or invalid."""
     keys = route_keys(routes).distinct().withColumn("_found", F.lit(True))
-    return outcome(lookup_join(one_per_request(requests), keys, ["service", "route_id"], "left"), now)
+    found = lookup_join(
+        one_per_request(requests), keys, ["service", "route_id"], "left", keys_from=with_number(requests)
+    )
+    return outcome(found, now)
 
 
 def booked_rows(results: DataFrame, last_id: int = 0) -> DataFrame:

@@ -78,19 +78,25 @@ def _repeat(df: DataFrame, heavy: Column, salts: int) -> DataFrame:
 
 
 def lookup_join(
-    left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", check_size: bool = False
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    how: str = "left",
+    check_size: bool = False,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join many rows per key on the left with at most one on the right.
 
     `how` is inner, left, left_semi or left_anti; for the last two the right side may repeat keys. With `check_size`
     the right side is counted, up to the bound, and broadcast when it is small; set it where that is cheap next to a
-    shuffle of the left side.
+    shuffle of the left side. Where the left side takes long to compute, heavy keys can be looked for in `keys_from`,
+    an earlier form of it with the same keys.
     """
     if check_size and is_small(right):
         return left.join(F.broadcast(right), keys, how)
     if how in ("left_semi", "left_anti"):
         right = right.select(*keys).distinct()
-    hot = hot_keys(left, keys)
+    hot = hot_keys(left if keys_from is None else keys_from, keys)
     if not hot:
         return left.join(right, keys, how)
     salts = _salt_count(left, hot)

@@ -9,7 +9,7 @@ from tripspark.functions.times import time_of_micros
 from tripspark.operators import spans, tracestore
 from tripspark.queries.bookings import FIXED_TIME
 from tripspark.queries.registry import query
-from tripspark.session import fresh_path, use_disk_state
+from tripspark.session import fresh_path, no_more_partitions_than_cores, use_disk_state
 from tripspark.sources.analog import AnalogTables
 from tripspark.streaming import bookings, copy, traces
 from tripspark.streaming.files import UNTIL_DONE, file_stream
@@ -43,7 +43,8 @@ def _collected(t: AnalogTables, stream: DataFrame, name: str) -> DataFrame:
     """Everything the stream puts out, from the files it wrote."""
     out, checkpoint = _paths(t, name)
     writer = stream.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
-    writer.trigger(**UNTIL_DONE).format("parquet").option("path", out).start().awaitTermination()
+    with no_more_partitions_than_cores(t.spark):
+        writer.trigger(**UNTIL_DONE).format("parquet").option("path", out).start().awaitTermination()
     return t.spark.read.schema(stream.schema).parquet(out)
 
 
@@ -51,13 +52,10 @@ def _collected(t: AnalogTables, stream: DataFrame, name: str) -> DataFrame:
 def stream_span_points(t: AnalogTables) -> DataFrame:
     """Uncopied spans and their annotations arrive as two streams."""
     out, checkpoint = _paths(t, "stream-points")
-    copy.start_copy(
-        _as_stream(spans.unscanned(t.spans()), "spans-in", "start_ts"),
-        _as_stream(t.annotations(), "annotations-in", "a_timestamp"),
-        out,
-        checkpoint,
-        UNTIL_DONE,
-    ).awaitTermination()
+    started = _as_stream(spans.unscanned(t.spans()), "spans-in", "start_ts")
+    noted = _as_stream(t.annotations(), "annotations-in", "a_timestamp")
+    with no_more_partitions_than_cores(t.spark):
+        copy.start_copy(started, noted, out, checkpoint, UNTIL_DONE).awaitTermination()
     return t.spark.read.parquet(f"{out}/points").drop("batch_id")
 
 
@@ -71,10 +69,9 @@ def stream_booking_results(t: AnalogTables) -> DataFrame:
         "request_id",
     )
     out, checkpoint = _paths(t, "stream-bookings")
-    bookings.start_bookings(
-        _as_stream(requests.unionByName(requests), "bookings-in"), t.stored_routes(), out, checkpoint, UNTIL_DONE,
-        now=F.expr(FIXED_TIME),
-    ).awaitTermination()
+    asked, routes, now = _as_stream(requests.unionByName(requests), "bookings-in"), t.stored_routes(), F.expr(FIXED_TIME)
+    with no_more_partitions_than_cores(t.spark):
+        bookings.start_bookings(asked, routes, out, checkpoint, UNTIL_DONE, now=now).awaitTermination()
     return t.spark.read.parquet(f"{out}/results").drop("batch_id")
 
 
@@ -100,8 +97,7 @@ def stream_point_counts(t: AnalogTables) -> DataFrame:
 @query("SELECT day, parent, child, COUNT(*) AS call_count FROM v_links GROUP BY day, parent, child")
 def stream_dependency_links(t: AnalogTables) -> DataFrame:
     out, checkpoint = _paths(t, "stream-links")
-    named = tracestore.with_service(t.spans(), t.annotations())
-    traces.start_links(
-        _as_stream(named, "links-in"), out, checkpoint, UNTIL_DONE, bound="31 days"
-    ).awaitTermination()
+    named = _as_stream(tracestore.with_service(t.spans(), t.annotations()), "links-in")
+    with no_more_partitions_than_cores(t.spark):
+        traces.start_links(named, out, checkpoint, UNTIL_DONE, bound="31 days").awaitTermination()
     return traces.read_links(t.spark, out)

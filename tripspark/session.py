@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +36,18 @@ def use_disk_state(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def no_more_partitions_than_cores(spark: SparkSession) -> Iterator[None]:
+    """For streams that end soon: every partition of a stateful stream has a store of its own in every batch."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
     """Stored times have no zone and epoch values are UTC, so the session must be UTC too."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

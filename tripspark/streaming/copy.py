@@ -63,8 +63,9 @@ def start_copy(
     trigger: dict[str, object] | None = None,
     delay: str = "10 seconds",
     bound: str = "20 seconds",
+    use_high: bool = False,
 ) -> StreamingQuery:
     """Copy span rows to points. The checkpoint records what was read, so no rows are marked."""
-    writer = join_streams(spans, annotations, delay, bound).writeStream.option("checkpointLocation", checkpoint)
+    writer = join_streams(spans, annotations, delay, bound, use_high).writeStream.option("checkpointLocation", checkpoint)
     writer = writer.outputMode("append").foreachBatch(lambda rows, batch_id: write_copy_batch(rows, batch_id, out))
     return with_trigger(writer, trigger).start()
