@@ -82,8 +82,10 @@ def test_run_appends_with_rising_keys(spark, requests, routes, tmp_path):
     assert results.count() == len(GOLDEN)
     stored = spark.read.parquet(path)
     assert last_key(stored) == 2
-    run_bookings(requests, routes, path, stored, F.expr(NOW))
+    run_bookings(requests, routes, path, stored, now=F.expr(NOW))
     assert [r[0] for r in rows(spark.read.parquet(path), "id")] == [1, 2, 3, 4]
+    assert run_bookings(requests, routes, path, spark.read.parquet(path), answered=results).count() == 0
+    assert spark.read.parquet(path).count() == 4
 
 
 def test_no_bookings(spark, requests, routes):

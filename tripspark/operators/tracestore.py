@@ -67,9 +67,9 @@ def span_names_of_services(spans: DataFrame, annotations: DataFrame, ignore_case
 # Finding traces
 
 
-def traces_by_ids(spans: DataFrame, ids: DataFrame) -> DataFrame:
-    """Spans of the traces in `ids` (trace_id_high, trace_id)."""
-    return lookup_join(spans, ids.select(*TRACE), TRACE, "left_semi")
+def traces_by_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Spans, or annotations, of the traces in `ids` (trace_id_high, trace_id)."""
+    return lookup_join(rows, ids.select(*TRACE), TRACE, "left_semi")
 
 
 def with_annotation_pages(spans: DataFrame, annotations: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
@@ -126,8 +126,10 @@ def matching_spans(
         marked = wanted.select(*TRACE, F.col("span_id").alias("id")).distinct()
         found = found.join(marked, SPAN_KEY, "left_semi")
     if service is not None:
-        owned = span_services(annotations).where(equal("service", service)).select(*SPAN_KEY)
-        found = found.join(owned, SPAN_KEY, "left_semi")
+        # Only spans that name the service at all can belong to it, so only their annotations are grouped.
+        naming = annotations.where(equal("endpoint_service_name", service)).select(*ANNOTATION_SPAN).distinct()
+        owners = span_services(annotations.join(naming, ANNOTATION_SPAN, "left_semi"))
+        found = found.join(owners.where(equal("service", service)).select(*SPAN_KEY), SPAN_KEY, "left_semi")
     return found
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 
 from tripspark.operators.booking import book, booked_rows, last_key
+from tripspark.operators.skew import lookup_join
 from tripspark.session import stage
 from tripspark.sinks.tables import append_rows
 
@@ -14,13 +15,17 @@ def run_bookings(
     routes: DataFrame,
     bookings_path: str,
     stored: DataFrame | None = None,
+    answered: DataFrame | None = None,
     now: Column | None = None,
 ) -> DataFrame:
-    """Append booked rows and return the result of every request.
+    """Append booked rows and return the result of every new request.
 
-    Results are stored first, so both outputs hold the same outcome and booking time. Requests answered by an earlier
-    run are left out by the caller, for example with an anti join on its results.
+    Requests whose id is in `answered`, the results of earlier runs, are left out; keys go on after those in `stored`.
+    Results are written first, so both outputs hold the same outcome and booking time.
     """
-    results = stage(book(requests, routes, now), "booking-results")
+    new = requests
+    if answered is not None:
+        new = lookup_join(requests, answered.select("request_id"), ["request_id"], "left_anti")
+    results = stage(book(new, routes, now), "booking-results")
     append_rows(booked_rows(results, 0 if stored is None else last_key(stored)), bookings_path)
     return results

@@ -11,6 +11,7 @@ from tripspark.functions.traces import trace_key_text
 from tripspark.operators import spans, tracestore
 from tripspark.plans.catalogue import catalogue_of
 from tripspark.queries.registry import query
+from tripspark.session import stage
 from tripspark.sinks.points import to_line_protocol
 from tripspark.sources.analog import AnalogTables
 from tripspark.vocabulary import ANNOTATION_MEASUREMENT, SPAN_MEASUREMENT
@@ -152,8 +153,8 @@ def traces_by_ids(t: AnalogTables) -> DataFrame:
     ids = t.table("customer").where(F.col("c_acctbal") < 0).select(
         F.lit(0).cast("bigint").alias("trace_id_high"), F.col("c_custkey").alias("trace_id")
     )
-    found = tracestore.traces_by_ids(t.spans(), ids)
-    nested = tracestore.with_annotation_pages(found, t.annotations())
+    found, notes = tracestore.traces_by_ids(t.spans(), ids), tracestore.traces_by_ids(t.annotations(), ids)
+    nested = tracestore.with_annotation_pages(found, notes)
     return nested.withColumn("annotations", F.to_json("annotations", {"ignoreNullFields": "false"}))
 
 
@@ -241,7 +242,7 @@ def sampled_traces(t: AnalogTables) -> DataFrame:
 @query("SELECT * FROM v_spans WHERE NOT scanned")
 def insert_ignore_spans(t: AnalogTables) -> DataFrame:
     """All spans arrive, sent twice; the scanned ones are stored already."""
-    new = t.spans()
+    new = stage(t.spans(), "new-spans")
     return tracestore.insert_ignore(
         new.unionByName(new), t.spans(parents=False).where("scanned"), spans.SPAN_KEY
     )
