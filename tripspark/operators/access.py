@@ -10,17 +10,19 @@ from tripspark.operators.lists import PAGE_SIZE, pages
 from tripspark.operators.skew import lookup_join
 
 
-def _rows_of(df: DataFrame, names: DataFrame, ignore_case: bool) -> DataFrame:
-    name = folded(F.col("username"), ignore_case).alias("_name")
-    return lookup_join(df.withColumn("_name", name), names.select(name), ["_name"], "left_semi").drop("_name")
+def _named(df: DataFrame, ignore_case: bool) -> DataFrame:
+    return df.withColumn("_name", folded(F.col("username"), ignore_case))
 
 
 def user_lookup(users: DataFrame, names: DataFrame, ignore_case: bool = False) -> DataFrame:
-    return _rows_of(users.select("username", "enabled"), names, ignore_case)
+    """Users are unique by name, so no name can hold many of them."""
+    wanted = _named(names, ignore_case).select("_name").distinct()
+    return _named(users.select("username", "enabled"), ignore_case).join(wanted, "_name", "left_semi").drop("_name")
 
 
 def role_lookup(user_roles: DataFrame, names: DataFrame, ignore_case: bool = False) -> DataFrame:
-    return _rows_of(user_roles.select("username", "role"), names, ignore_case)
+    rows = _named(user_roles.select("username", "role"), ignore_case)
+    return lookup_join(rows, _named(names, ignore_case), ["_name"], "left_semi").drop("_name")
 
 
 def users_with_roles(users: DataFrame, user_roles: DataFrame) -> DataFrame:

@@ -85,4 +85,4 @@ def request_answers(requests: DataFrame, cities: DataFrame, routes: DataFrame) -
     lengths = routes.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("_routes"))
     answered = lookup_join(city_pair_distance(requests, cities), lengths, PAIR, "left", keys_from=requests)
     found = F.coalesce(F.when(F.col("status") == "ok", F.col("_routes")), F.lit(0))
-    return answered.select("request_id", *PAIR, "status", "distance", found.alias("routes"))
+    return answered.select("request_id", *PAIR, "status", "distance", found.alias("route_count"))

@@ -52,11 +52,8 @@ def distance_json(t: AnalogTables) -> DataFrame:
 
 
 @query("""
-SELECT d.origin AS city_a, d.destination AS city_b, ROUND(d.km, 4) AS km, ROUND(d.km, 2) AS distance
-FROM v_distances d JOIN (
-  SELECT DISTINCT LEAST(origin, destination) AS a, GREATEST(origin, destination) AS b
-  FROM (SELECT origin, destination FROM v_routes UNION SELECT origin, destination FROM v_trip_requests)) p
-ON d.origin = p.a AND d.destination = p.b""")
+SELECT origin AS city_a, destination AS city_b, ROUND(km, 4) AS km, ROUND(km, 2) AS distance
+FROM v_distances WHERE origin < destination""")
 def distance_matrix(t: AnalogTables) -> DataFrame:
     """Distances of all city pairs that a route connects or a request names."""
     pair = routes.PAIR
@@ -123,7 +120,7 @@ def trip_rows_indexed(t: AnalogTables) -> DataFrame:
 
 @query("""
 SELECT t.request_id, t.origin, t.destination, t.status, t.distance,
-       CASE WHEN t.status = 'ok' THEN COALESCE(n.routes, 0) ELSE 0 END AS routes
+       CASE WHEN t.status = 'ok' THEN COALESCE(n.routes, 0) ELSE 0 END AS route_count
 FROM v_trips t LEFT JOIN (SELECT origin, destination, COUNT(*) AS routes FROM v_routes GROUP BY ALL) n
 ON t.origin = n.origin AND t.destination = n.destination""")
 def request_answers(t: AnalogTables) -> DataFrame:

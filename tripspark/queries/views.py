@@ -49,13 +49,18 @@ SELECT c_name AS username, CONCAT('ROLE_', c_mktsegment) AS role FROM customer W
 UNION ALL
 SELECT c_name AS username, 'ROLE_ADMIN' AS role FROM customer WHERE c_nationkey < 5""",
     # Tables of answers, each built from the ones above.
+    "v_named": """
+SELECT origin, destination FROM v_trip_requests
+UNION SELECT LEAST(origin, destination), GREATEST(origin, destination) FROM v_trip_requests
+UNION SELECT LEAST(origin, destination), GREATEST(origin, destination) FROM v_routes""",
     "v_distances": """
-SELECT a.city_id AS origin, b.city_id AS destination,
-       2 * 6371 * ATAN2(SQRT(h), SQRT(1 - h)) AS km
-FROM v_cities a JOIN v_cities b ON a.city_id <> b.city_id,
-     LATERAL (SELECT POWER(SIN(RADIANS(b.latitude - a.latitude) / 2), 2)
-              + COS(RADIANS(a.latitude)) * COS(RADIANS(b.latitude))
-              * POWER(SIN(RADIANS(b.longitude - a.longitude) / 2), 2) AS h)""",
+SELECT origin, destination, 2 * 6371 * ATAN2(SQRT(h), SQRT(1 - h)) AS km
+FROM (SELECT p.origin, p.destination,
+             POWER(SIN(RADIANS(b.latitude - a.latitude) / 2), 2)
+             + COS(RADIANS(a.latitude)) * COS(RADIANS(b.latitude))
+             * POWER(SIN(RADIANS(b.longitude - a.longitude) / 2), 2) AS h
+      FROM v_named p JOIN v_cities a ON p.origin = a.city_id JOIN v_cities b ON p.destination = b.city_id
+      WHERE p.origin <> p.destination)""",
     "v_trips": """
 SELECT r.request_id, r.origin, r.destination, d.km, ROUND(d.km, 2) AS distance,
        CASE WHEN d.km IS NULL THEN 'error' ELSE 'ok' END AS status
