@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tripspark.functions.times import micros_of_time
 from tripspark.operators.ordering import previous_in_group
@@ -16,9 +17,14 @@ class AnalogTables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._schemas: dict[str, StructType] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """Reads the schema from the files once per table."""
+        reader = self.spark.read.schema(self._schemas[name]) if name in self._schemas else self.spark.read
+        stored = reader.parquet(f"{self.folder}/{name}.parquet")
+        self._schemas[name] = stored.schema
+        return stored
 
     def cities(self) -> DataFrame:
         key = F.col("n_nationkey")
