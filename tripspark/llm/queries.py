@@ -3,20 +3,73 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripspark.llm import chat_format, mixture, personal_data, quality_rules
+from tripspark.llm import (
+    backoff_scores,
+    chat_format,
+    compression_classifier,
+    decontamination,
+    license_scan,
+    mixture,
+    near_duplicates,
+    personal_data,
+    quality_rules,
+    repeated_spans,
+)
 from tripspark.llm.frames import named, table
+from tripspark.llm.shipping import ship
 from tripspark.llm.sql import SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[function.__name__] = function
-    return function
+    @wraps(function)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship(spark)
+        return function(spark, folder)
+
+    QUERIES[function.__name__] = run
+    return run
+
+
+@query
+def op2_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = compression_classifier.trained(docs, table(spark, folder, "labels"))
+    scored = compression_classifier.scored(docs, model)
+    return scored.select(
+        "doc_id",
+        F.coalesce(compression_classifier.fold(F.col("doc_id")) == compression_classifier.HELD_OUT, F.lit(False)).alias(
+            "held_out"
+        ),
+        "score",
+        (F.col("score") >= compression_classifier.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    scanned = license_scan.scanned(table(spark, folder, "documents"))
+    base, found = F.col("licenses.base"), F.col("licenses.found")
+    places = F.transform(base, lambda b: b["first"])
+    own = F.transform(base, lambda b: b["label"])
+    joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    sure = F.when(F.size(base) > 0, 0.95).otherwise(0.0)
+    return scanned.select(
+        "doc_id",
+        F.col("licenses.n_words").alias("n_words"),
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(places).cast("long").alias("first_word"),
+        F.array_max(places).cast("long").alias("last_word"),
+        joined(own).alias("base_labels"),
+        joined(F.concat(own, F.transform(found, lambda d: d["label"]))).alias("labels"),
+        F.greatest(sure, F.coalesce(F.array_max(F.transform(found, lambda d: d["confidence"])), F.lit(0.0))).alias("score"),
+    )
 
 
 def _of_kind(spans: Column, kind: str) -> Column:
@@ -79,3 +132,33 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query
+def op6_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.grouped(table(spark, folder, "documents"))
+
+
+@query
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    marked = decontamination.marked(table(spark, folder, "documents"), table(spark, folder, "benchmark"), into="mark")
+    hit = decontamination.hit_words(F.col("mark"))
+    return marked.select(
+        "doc_id",
+        F.col("mark.n_words").alias("n_words"),
+        hit.alias("n_hit"),
+        F.size("mark.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("mark.items"), ","), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
+
+
+@query
+def op1_backoff_scores(spark: SparkSession, folder: str) -> DataFrame:
+    scored = backoff_scores.scored(table(spark, folder, "documents"))
+    return scored.select("doc_id", "n_words", "n_full", F.round("score", 6).alias("score"))
+
+
+@query
+def op10_repeated_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_spans.spans(table(spark, folder, "documents")).drop("text_hash", "spans")

@@ -119,3 +119,109 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND NOT ({' OR '.join(_broken(r) for r in quality_rules.RULES)}) AS kept
 FROM v
 """
+
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+SQL["op9_decontamination"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words FROM documents
+), b AS (
+  SELECT item_id, {_WORDS} AS words FROM benchmark
+), g AS (
+  SELECT DISTINCT item_id, least(len(words), 10) AS n, array_to_string(words[p:p + least(len(words), 10) - 1], ' ') AS gram
+  FROM (SELECT item_id, words, unnest(range(1, len(words) - least(len(words), 10) + 2)) AS p FROM b WHERE len(words) > 0)
+), h AS (
+  SELECT DISTINCT r, p, n, item_id
+  FROM (SELECT r, p, n, array_to_string(words[p:p + n - 1], ' ') AS gram
+        FROM (SELECT r, words, n, unnest(range(1, len(words) - n + 2)) AS p
+              FROM d, (SELECT DISTINCT n FROM g) WHERE len(words) >= n)) JOIN g USING (n, gram)
+), c AS (
+  SELECT r, count(DISTINCT w) AS n_hit FROM (SELECT r, unnest(range(p, p + n)) AS w FROM h) GROUP BY r
+), i AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM h) GROUP BY r
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c ON d.r = c.r LEFT JOIN i ON d.r = i.r
+"""
+
+SQL["op6_ngram_jaccard"] = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^ \t-\r]+') AS words FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(words[p:p + least(len(words), 5) - 1], ' ') AS gram
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - least(len(words), 5) + 2)) AS p FROM d WHERE len(words) > 0)
+), z AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), o AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS common
+  FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL
+), e AS (
+  SELECT u, v FROM o JOIN z x ON x.doc_id = u JOIN z y ON y.doc_id = v WHERE 100 * common >= 80 * (x.n + y.n - common)
+), c AS (
+  SELECT doc_id, doc_id AS reached FROM z
+  UNION
+  SELECT c.doc_id, e.v FROM c JOIN e ON c.reached = e.u
+)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(m, d.doc_id) AS component_id
+FROM d LEFT JOIN z ON d.doc_id = z.doc_id
+LEFT JOIN (SELECT doc_id, min(reached) AS m FROM c GROUP BY doc_id) k ON d.doc_id = k.doc_id
+"""
+
+SQL["op1_backoff_scores"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words FROM documents
+), w AS (
+  SELECT r, len(words) AS m, unnest(range(1, len(words) + 1)) AS i, unnest(words) AS c FROM d
+), g AS (
+  SELECT *, lag(c) OVER o AS b, lag(c, 2) OVER o AS a FROM w WINDOW o AS (PARTITION BY r ORDER BY i)
+), n AS (
+  SELECT *, count(*) OVER () AS words,
+         count(*) OVER (PARTITION BY c) - count(*) OVER (PARTITION BY r, c) AS c1,
+         count(*) OVER (PARTITION BY b, c) - count(*) OVER (PARTITION BY r, b, c) AS c2,
+         count(*) OVER (PARTITION BY a, b, c) - count(*) OVER (PARTITION BY r, a, b, c) AS c3
+  FROM g
+), x AS (
+  SELECT *, lag(c1) OVER o AS d1, lag(c2) OVER o AS d2 FROM n WINDOW o AS (PARTITION BY r ORDER BY i)
+), s AS (
+  SELECT r, i, m, c3 > 0 AND i > 2 AS full_order,
+         CASE WHEN i > 2 AND c3 > 0 THEN ln(c3) - ln(d2)
+              WHEN i > 1 AND c2 > 0 THEN CASE WHEN i > 2 THEN ln(0.4::DOUBLE) ELSE 0 END + ln(c2) - ln(d1)
+              ELSE least(i - 1, 2) * ln(0.4::DOUBLE)
+                   + CASE WHEN c1 > 0 THEN ln(c1) - ln(words - m) ELSE ln(0.4::DOUBLE) - ln(words - m + 1) END
+         END AS v
+  FROM x
+), t AS (
+  SELECT r, count(*) FILTER (full_order) AS n_full, round(sum(v) / count(*), 6) AS score FROM s GROUP BY r
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_full, 0)::BIGINT AS n_full, score
+FROM d LEFT JOIN t ON d.r = t.r
+"""
+
+SQL["op10_repeated_spans"] = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(doc_id, 9223372036854775807) AS k, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), w AS (
+  SELECT r, k, s, md5_number(substr(x, 2 * s + 1, 100)) AS g
+  FROM (SELECT r, k, x, unnest(range(0, length(x) // 2 - 49)) AS s FROM d WHERE length(x) >= 100)
+), m AS (
+  SELECT r, s FROM (SELECT r, k, s, min(k) OVER (PARTITION BY g) AS least FROM w) WHERE k > least
+), i AS (
+  SELECT r, s, sum(CASE WHEN s <= before + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY s) AS run
+  FROM (SELECT r, s, coalesce(lag(s) OVER (PARTITION BY r ORDER BY s), -100) AS before FROM m)
+), u AS (
+  SELECT r, run, min(s) AS a, max(s) + 50 AS b FROM i GROUP BY r, run
+), v AS (
+  SELECT r, run, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM u
+), t AS (
+  SELECT v.r, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS tail,
+         string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+  FROM v JOIN d ON v.r = d.r GROUP BY v.r
+)
+SELECT doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(x, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN t ON d.r = t.r
+"""
