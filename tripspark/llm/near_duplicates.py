@@ -11,21 +11,22 @@ verified. Passages that many documents share so cost nothing, as long as they ma
 Steps:
 1. `sets`: per document the number of shingles and a hash of the set. Equal sets are one node from here on.
 2. `postings`: the longest prefix any l needs, dealt by shingle; only shingles of two or more nodes go on.
-3. `chosen`: per node the length l, the probes, and a typical shingle.
-4. Stars: a node whose prefix is mostly shared meets the most central node of its typical shingle and is verified with
-   it. Copies of one original so become one family with as many pairs as members.
-5. Pairs: probes meet all postings of their shingle, but not those of their own family. Shared probes are counted per
-   pair; a pair goes on if they can still add up to the overlap it needs.
+3. `members`: a node whose prefix is mostly shared belongs to the families of its two most frequent prefix shingles.
+4. `family_links`: members of a family are compared exactly, by the products of their shingle matrices, in blocks of at
+   most 2 * `FAMILY_BLOCK` members, and each block gives the edges of a spanning forest only. So thousands of copies of one
+   original make as many edges as members, not all their pairs.
+5. `probe_pairs`: probes meet all postings of their shingle, but not those of a common family. Shared probes are counted
+   per pair; a pair goes on if they can still add up to the overlap it needs.
 6. `verified`: the exact sets of both texts decide.
-7. Components over all links.
+7. Components over all edges.
 
-Numbers travel as packed cells (packed.py); texts are shuffled only for documents in some pair. No cap on partners, no
-cap on groups: a family is linked by its star, everything else is enumerated in blocks.
+Numbers travel as packed cells (packed.py); texts are shuffled only for documents in a family or a pair. No cap on
+partners, no cap on groups: a family of g members is compared in (g / FAMILY_BLOCK)^2 / 2 blocks, each a task's small part.
 
 Cases: a null or empty text, or one without words, has an empty set and links with nothing. One to four words make one
 shingle of all words. Rows with equal ids are one document with all their texts, and linked. Rows with a null id link with
 nothing. Sets count as equal when two 64-bit sums over them and their sizes agree. An empty table gives no rows. Other
-columns are not read by `links` and `grouped`, and pass through `without_duplicates`.
+columns are not read by `edges` and `grouped`, and pass through `without_duplicates`.
 """
 
 from __future__ import annotations
@@ -44,11 +45,11 @@ from tripspark.llm.text_blocks import NO_BLANKS, blocks, grams, mixed, whole_gra
 
 SIZE = 5
 DEAR = 24  # a shingle in more documents costs more than a longer prefix
+FAMILY_BLOCK = 256
 
 _POSTING = {"token": "u8", "node": "u8", "n": "i4", "pos": "i4"}
 _SHARED = {**_POSTING, "df": "i4"}
-_PROBE = {**_POSTING, "level": "i4", "flags": "i4", "centre": "i8", "family": "u8"}
-_USE, _STAR = 1, 2
+_PROBE = {**_POSTING, "level": "i4", "use": "i4", "family": "u8", "second": "u8"}
 
 
 def needed(n: np.ndarray) -> np.ndarray:
@@ -150,17 +151,17 @@ def shared(cells: DataFrame) -> DataFrame:
     return by_bucket(cells, made, CELL)
 
 
-def _choice(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    """Level, probes, typical shingle and centrality of every node."""
+def _choice(rows: dict[str, np.ndarray], dear_df: int) -> dict[str, np.ndarray]:
+    """Level, probes and families of every node, for its rows in order."""
     order = np.lexsort((rows["pos"], rows["node"]))
     rows = {name: column[order] for name, column in rows.items()}
     node, n, pos, df = rows["node"], rows["n"].astype(np.int64), rows["pos"].astype(np.int64), rows["df"].astype(np.int64)
     if not len(node):
-        return rows | {name: np.zeros(0, dtype=_PROBE[name]) for name in ("level", "flags", "centre", "family")}
+        return rows | {name: np.zeros(0, dtype=_PROBE[name]) for name in ("level", "use", "family", "second")}
     _, first, group, size = np.unique(node, return_index=True, return_inverse=True, return_counts=True)
     # A partner may be a fifth smaller, and its stored prefix has to be long enough too.
     prefix, levels, longest = base_prefix(n), most_levels(needed(n)), base_prefix(n) + most_levels(n) - 1
-    dear = df > DEAR
+    dear = df > dear_df
     before = np.cumsum(dear) - dear
     before = before - before[first][group]  # dear ones earlier in the same node
     met = dear & (pos - before < prefix)
@@ -172,50 +173,132 @@ def _choice(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     rank = np.empty(len(node), dtype=np.int64)
     rank[by_cost] = np.arange(len(node)) - first[group]
     use = inside & ~((cost > 0) & (rank < extra))
-    # Typical: the shingle of middle frequency, where at least half of the prefix is shared.
-    by_df = np.lexsort((pos, df, group))
-    middle = by_df[first + size // 2]
-    length = np.minimum(longest, n)[first]
-    mostly = 2 * size >= length
-    star = np.zeros(len(node), dtype=bool)
-    star[middle[mostly]] = True
-    centre = (1000 * np.bincount(group, weights=df) / length).astype(np.int64)[group]
+    # Families: the two most frequent shingles, where at least half of the prefix is shared; 0 for none.
+    by_df = np.lexsort((rows["token"], -df, group))
+    top = rows["token"][by_df[first]]
+    next_top = np.where(size > 1, rows["token"][by_df[np.minimum(first + 1, len(node) - 1)]], np.uint64(0))
+    mostly = 2 * size >= np.minimum(longest, n)[first]
     return rows | {
         "level": (1 + extra).astype(np.int32),
-        "flags": (_USE * use + _STAR * star).astype(np.int32),
-        "centre": centre,
-        "family": node,
+        "use": use.astype(np.int32),
+        "family": np.where(mostly, top, np.uint64(0))[group],
+        "second": np.where(mostly, next_top, np.uint64(0))[group],
     }
 
 
-def chosen(shared_cells: DataFrame, families: DataFrame | None = None) -> DataFrame:
-    """Cells by shingle, with what each node chose and the family it is in."""
+def chosen(shared_cells: DataFrame, dear: int = DEAR) -> DataFrame:
+    """Cells by shingle, with what each node chose and the families it is in."""
     buckets = bucket_count(shared_cells.sparkSession)
 
-    def packed_choice(table: pa.Table, known: dict[str, np.ndarray] | None) -> pa.Table:
-        rows = _choice(unpacked(table.column("cell"), _SHARED))
-        if known is not None and len(known["node"]):
-            order = np.argsort(known["node"])
-            nodes, family = known["node"][order], known["family"][order]
-            at = np.minimum(np.searchsorted(nodes, rows["node"]), len(nodes) - 1)
-            rows["family"] = np.where(nodes[at] == rows["node"], family[at], rows["node"])
+    def made(table: pa.Table) -> pa.Table:
+        rows = _choice(unpacked(table.column("cell"), _SHARED), dear)
         return pa.Table.from_batches([packed(bucket_of(rows["token"], buckets), rows, _PROBE)])
 
-    if families is None:
-        return by_bucket(shared_cells, lambda table: packed_choice(table, None), CELL)
-    layout = {"node": "u8", "family": "u8"}
+    return by_bucket(shared_cells, made, CELL)
 
-    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = {name: batch.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i, name in enumerate(layout)}
-            if len(columns["node"]):
-                yield packed(bucket_of(columns["node"], buckets), columns, layout)
-
-    known = families.select("node", "family").mapInArrow(cells, CELL)
-    pairs = shared_cells.groupBy("bucket").cogroup(known.groupBy("bucket"))
-    return pairs.applyInArrow(
-        lambda left, right: packed_choice(left, unpacked(right.column("cell"), layout)), CELL
+
+def members(shared_cells: DataFrame, dear: int = DEAR) -> DataFrame:
+    """Rows (family, node): up to two families a node."""
+
+    def made(table: pa.Table) -> pa.Table:
+        rows = _choice(unpacked(table.column("cell"), _SHARED), dear)
+        node, at = np.unique(rows["node"], return_index=True)
+        family = np.concatenate([rows["family"][at], rows["second"][at]])
+        node = np.concatenate([node, node])[family != 0]
+        return pa.table({"family": family[family != 0].view(np.int64), "node": node.view(np.int64)})
+
+    return by_bucket(shared_cells, made, "family long, node long")
+
+
+def family_links(member_rows: DataFrame, nodes: DataFrame, df: DataFrame, key: str, text: str) -> DataFrame:
+    """Edges (x, y) that connect within every family what links there; see `_forest`."""
+    member_rows = stored(member_rows, "members")
+    sizes = member_rows.groupBy("family").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    blocks = F.ceil(F.col("n") / FAMILY_BLOCK).cast("int")
+    dealt = member_rows.join(sizes, "family").select(
+        "family", "node", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block")
+    )
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    partners = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.filter(every, lambda o: o != F.col("block")))
+    paired = stored(
+        dealt.withColumn("other", F.explode(partners)).select(
+            "family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node"
+        ),
+        "family-blocks",
     )
+    texts = node_texts(paired.select("node").distinct(), nodes, df, key, text)
+    rows = paired.join(texts, "node").select("family", "i", "j", "node", "text")
+    # Blocks are dealt evenly, also those of one large family.
+    blocks_together = rows.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "node")
+    return blocks_together.mapInArrow(_forests, "x long, y long").distinct()
+
+
+def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks come in order; one at a time is held."""
+    held: list[pa.RecordBatch] = []
+    current = None
+    for batch in batches:
+        keys = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)])
+        starts = np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)])) if len(batch) else []
+        for a, b in zip(starts, [*starts[1:], len(batch)]):
+            own = tuple(keys[:, a].tolist())
+            if own != current and held:
+                yield _forest(held)
+                held = []
+            current = own
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield _forest(held)
+
+
+FREQUENT = 24  # shingles of more members are counted by a matrix product, others pair by pair
+COLUMNS = 4096
+
+
+def _overlaps(docs: np.ndarray, tokens: np.ndarray, size: int) -> np.ndarray:
+    """Shared shingles of every two of `size` sets, given as (set, shingle) rows."""
+    order = np.lexsort((docs, tokens))
+    docs, tokens = docs[order], tokens[order]
+    _, column, counts = np.unique(tokens, return_inverse=True, return_counts=True)
+    common = np.zeros((size, size), dtype=np.float32)
+    often = np.flatnonzero(counts > FREQUENT)
+    for at in range(0, len(often), COLUMNS):
+        own = often[at : at + COLUMNS]
+        place = np.full(len(counts), -1, dtype=np.int64)
+        place[own] = np.arange(len(own))
+        inside = place[column] >= 0
+        matrix = np.zeros((size, len(own)), dtype=np.float32)
+        matrix[docs[inside], place[column[inside]]] = 1
+        common += matrix @ matrix.T
+    starts = np.cumsum(counts) - counts
+    for d in range(2, FREQUENT + 1):
+        own = starts[counts == d]
+        if len(own):
+            sets_of = docs[own[:, None] + np.arange(d)]
+            for a in range(d):
+                for b in range(a + 1, d):
+                    np.add.at(common, (sets_of[:, a], sets_of[:, b]), 1)
+                    np.add.at(common, (sets_of[:, b], sets_of[:, a]), 1)
+    return common
+
+
+def _forest(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """For the members of one block: an edge from each to the first member of its connected part."""
+    nodes = np.concatenate([b.column(3).to_numpy() for b in held])
+    own = [s for b in held for _, s in shingle_sets(b.column(4))]
+    size, n = len(nodes), np.array([len(s) for s in own], dtype=np.float64)
+    docs = np.repeat(np.arange(size), n.astype(np.int64))
+    common = _overlaps(docs, np.concatenate(own), size)
+    linked = (common > 0) & (180.0 * common >= 80.0 * (n[:, None] + n[None, :]))
+    label = np.arange(size)
+    while True:
+        least = np.minimum(label, np.where(linked, label[None, :], size).min(axis=1))
+        least = least[least]
+        if (least == label).all():
+            break
+        label = least
+    x = np.flatnonzero(label != np.arange(size))
+    return pa.RecordBatch.from_arrays([pa.array(nodes[x]), pa.array(nodes[label[x]])], names=["x", "y"])
 
 
 _PAIR = "x long, y long, nx int, ny int, level int"
@@ -243,34 +326,6 @@ def _sorted_probes(table: pa.Table) -> tuple[dict[str, np.ndarray], np.ndarray,
     return rows, first[group] if len(first) else group, (first + size)[group] if len(first) else group
 
 
-def star_pairs(cells: DataFrame) -> DataFrame:
-    """Each node with the most central node of its typical shingle."""
-
-    def made(table: pa.Table) -> pa.Table:
-        rows, low, high = _sorted_probes(table)
-        star = np.flatnonzero(rows["flags"] & _STAR)
-        n, centre = rows["n"].astype(np.int64), rows["centre"]
-        xs, ys = [], []
-        for a in np.unique(low[star]).tolist():
-            b = int(high[a])
-            left = star[np.searchsorted(star, a) : np.searchsorted(star, b)]
-            hub = a + int(np.argmax(centre[a:b]))
-            # Central nodes in turn, until every member has met one of fitting size.
-            while len(left):
-                fits = 5 * np.minimum(n[hub], n[left]) >= 4 * np.maximum(n[hub], n[left])
-                met = left[fits & (left != hub)]
-                xs.append(met)
-                ys.append(np.full(len(met), hub))
-                left = left[~fits]
-                if len(left):
-                    hub = int(left[np.argmax(centre[left])])
-        x = np.concatenate([np.zeros(0, dtype=np.int64), *xs]).astype(np.int64)
-        y = np.concatenate([np.zeros(0, dtype=np.int64), *ys]).astype(np.int64)
-        return pa.Table.from_batches([_pairs(rows, x, y)])
-
-    return by_bucket(cells, made, _PAIR)
-
-
 BLOCK = 1 << 19
 LARGE = 64
 
@@ -293,12 +348,12 @@ def _ranges(start: np.ndarray, end: np.ndarray, of: np.ndarray) -> Iterator[tupl
 
 
 def probe_pairs(cells: DataFrame) -> DataFrame:
-    """One row per shared probe of two nodes of different families: x is the larger set, and the one that probes."""
+    """One row per shared probe of two nodes without a common family: x is the larger set, and the one that probes."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, low, high = _sorted_probes(pa.Table.from_batches(list(batches)))
         n = rows["n"].astype(np.int64)
-        probes = np.flatnonzero(rows["flags"] & _USE)
+        probes = np.flatnonzero(rows["use"])
         # The first row of the shingle that is large enough for x: sizes rise within a shingle.
         large = (high - low)[probes] > LARGE
         yield from _met(rows, n, _small_groups(n, low, probes[~large]))
@@ -327,8 +382,8 @@ def _small_groups(n: np.ndarray, low: np.ndarray, probes: np.ndarray) -> Iterato
 def _large_group(rows, n, a: int, b: int, probes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of one frequent shingle. Members of its largest family meet only the others."""
     family = rows["family"][a:b]
-    names, counts = np.unique(family, return_counts=True)
-    main = names[np.argmax(counts)]
+    names, counts = np.unique(family[family != 0], return_counts=True)
+    main = names[np.argmax(counts)] if len(names) else np.uint64(1)
     others = a + np.flatnonzero(family != main)
     inside = rows["family"][probes] == main
     # All smaller rows for those outside the family; the smaller ones outside for those inside.
@@ -342,11 +397,19 @@ def _large_group(rows, n, a: int, b: int, probes: np.ndarray) -> Iterator[tuple[
 
 def _met(rows, n, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
     for x, y in pairs:
-        fits = (100 * n[y] >= 80 * n[x]) & (rows["family"][x] != rows["family"][y])
+        fits = (100 * n[y] >= 80 * n[x]) & ~_same_family(rows, x, y)
         fits &= rows["pos"][y] < base_prefix(n[y]) + rows["level"][x] - 1
         yield _pairs(rows, x[fits], y[fits])
 
 
+def _same_family(rows: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    same = np.zeros(len(x), dtype=bool)
+    for one in ("family", "second"):
+        for other in ("family", "second"):
+            same |= (rows[one][x] == rows[other][y]) & (rows[one][x] != 0)
+    return same
+
+
 def candidates(probe_rows: DataFrame) -> DataFrame:
     """Pairs whose shared probes can still add up to the overlap they need.
 
@@ -369,16 +432,22 @@ def _linked(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array(list(both()), pa.bool_())
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, df: DataFrame, key: str, text: str) -> DataFrame:
-    """The pairs (x, y) that link, by the exact sets of one text of each node. Only texts in some pair are shuffled."""
-    pairs = stored(pairs.distinct(), "pairs")
-    wanted = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("y").alias("node"))).distinct()
+def node_texts(wanted: DataFrame, nodes: DataFrame, df: DataFrame, key: str, text: str) -> DataFrame:
+    """Stored rows (node, text) with one text of each wanted node."""
     wanted = stored(wanted.join(nodes, "node").select("node", "rep"), "wanted")
     docs = df.select(named(key).cast("long").alias("id"), named(text).alias("text"))
     near = with_mark(docs, "id", wanted, "rep").where("maybe").select("id", "text")
-    # An id may have several texts; the node's own is the one whose set it was made from.
     texts = near.join(wanted, near["id"] == wanted["rep"]).select("node", "text")
-    texts = stored(texts.where(F.arrow_udf(_node_of, "long")("text") == F.col("node")).dropDuplicates(["node"]), "texts")
+    # An id may have several texts; the node's own is the one whose set it was made from.
+    own = F.arrow_udf(_node_of, "long")("text") == F.col("node")
+    return stored(texts.where(own).dropDuplicates(["node"]), "texts")
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, df: DataFrame, key: str, text: str) -> DataFrame:
+    """The pairs (x, y) that link, by the exact sets of one text of each node. Only texts in some pair are shuffled."""
+    pairs = stored(pairs.distinct(), "pairs")
+    wanted = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("y").alias("node"))).distinct()
+    texts = node_texts(wanted, nodes, df, key, text)
     left = texts.select(F.col("node").alias("x"), F.col("text").alias("tx"))
     right = texts.select(F.col("node").alias("y"), F.col("text").alias("ty"))
     joined = pairs.join(left, "x").join(right, "y")
@@ -391,33 +460,30 @@ def _node_of(texts: pa.Array) -> pa.Array:
     )
 
 
-def links(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents with n and node, nodes with rep, links between nodes)."""
+def edges(
+    df: DataFrame, key: str = "doc_id", text: str = "text", dear: int = DEAR
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents with n and node, nodes with rep, edges between nodes that connect what links)."""
     documents = stored(sets(df, key, text), "sets")
     known = documents.where(F.col("node").isNotNull() & F.col("doc_id").isNotNull())
     nodes = stored(known.groupBy("node").agg(F.min("doc_id").alias("rep")), "nodes")
     cells = stored(shared(postings(df.where(named(key).isNotNull()), text)), "shared")
-    stars = stored(verified(star_pairs(chosen(cells)).select("x", "y"), nodes, df, key, text), "stars")
-    # A node goes with its hub; hubs go with themselves, so that the families stay one step deep.
-    hubs = stars.select(F.col("y").alias("node")).distinct()
-    families = stars.join(hubs, stars["x"] == hubs["node"], "left_anti").groupBy(F.col("x").alias("node")).agg(
-        F.min("y").alias("family")
-    )
-    crossing = verified(candidates(probe_pairs(chosen(cells, families))), nodes, df, key, text)
-    return documents, nodes, stored(stars.unionByName(crossing).distinct(), "links")
+    within = family_links(members(cells, dear), nodes, df, key, text)
+    crossing = verified(candidates(probe_pairs(chosen(cells, dear))), nodes, df, key, text)
+    return documents, nodes, stored(within.unionByName(crossing).distinct(), "edges")
 
 
-def grouped(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def grouped(df: DataFrame, key: str = "doc_id", text: str = "text", dear: int = DEAR) -> DataFrame:
     """Columns doc_id, n_shingles, component_id (smallest id reachable by links)."""
-    documents, nodes, found = links(df, key, text)
+    documents, nodes, found = edges(df, key, text, dear)
     one = nodes.select(F.col("node").alias("x"), F.col("rep").alias("u"))
     other = nodes.select(F.col("node").alias("y"), F.col("rep").alias("v"))
-    edges = found.join(one, "x").join(other, "y").select("u", "v")
+    linked = found.join(one, "x").join(other, "y").select("u", "v")
     # One id with several sets: its sets belong together.
     reps = documents.join(nodes, "node").select("doc_id", "rep")
     several = reps.groupBy("doc_id").agg(F.min("rep").alias("v"), F.max("rep").alias("last")).where("v < last")
     same = several.join(reps, "doc_id").where("rep <> v").select(F.col("rep").alias("u"), "v")
-    parts = components(edges.unionByName(same))
+    parts = components(linked.unionByName(same))
     of = nodes.join(parts, nodes["rep"] == parts["node"], "left").select(
         nodes["node"].alias("of"), F.coalesce("component", "rep").alias("least")
     )
