@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CELL = "bucket int, cell binary"
-BUCKETS_PER_PARTITION = 8
+BUCKETS_PER_PARTITION = 2
 Layout = dict[str, str]
 
 
