@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripspark.session import stage as stored  # noqa: F401
+
 WORD = "[^ \t-\r]+"
 
 
@@ -29,33 +29,3 @@ def word_count(text: Column) -> Column:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` below spark.checkpoint.dir and read it back: lineage ends here, and every reader sees the same rows.
-
-    Only a local master may do without that setting; executors elsewhere don't share the driver's folders.
-    """
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        if spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = _local_folder()
-    path = f"{folder.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _local_folder() -> str:
-    global _LOCAL
-    if _LOCAL is None:
-        import tempfile
-
-        _LOCAL = tempfile.mkdtemp(prefix="tripspark-llm-")
-    return _LOCAL
-
-
-_LOCAL: str | None = None

@@ -96,15 +96,15 @@ class Phrases:
     last: np.ndarray
 
 
-def pieces(offsets: np.ndarray, data: np.ndarray) -> Iterator[Piece]:
-    """Whole texts up to PIECE bytes together; longer texts cut so that every 50-byte string is in one piece."""
+def pieces(offsets: np.ndarray, data: np.ndarray, size: int = PIECE) -> Iterator[Piece]:
+    """Whole texts up to `size` bytes together; longer texts cut so that every 50-byte string is in one piece."""
     row, n = 0, len(offsets) - 1
     while row < n:
-        last = min(max(int(np.searchsorted(offsets, offsets[row] + PIECE, side="right")) - 1, row + 1), n)
+        last = min(max(int(np.searchsorted(offsets, offsets[row] + size, side="right")) - 1, row + 1), n)
         start, end = int(offsets[row]), int(offsets[last])
-        step = PIECE - LENGTH + 1
-        for at in range(start, max(end, start + 1), step) if end - start > PIECE else [start]:
-            to = min(at + PIECE, end)
+        step = size - LENGTH + 1
+        for at in range(start, max(end, start + 1), step) if end - start > size else [start]:
+            to = min(at + size, end)
             if to - at >= LENGTH:
                 inner = np.clip(offsets[row : last + 1], at, to) - at
                 doc = np.repeat(np.arange(row, last), np.diff(inner))
@@ -157,10 +157,11 @@ class Parse:
     first: np.ndarray  # in the chunk's bytes
     last: np.ndarray
     piece: np.ndarray  # start of the piece that the phrase was found in
+    size: int  # of pieces
 
     def strings(self, chosen: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(phrase, start, hash) of all strings of the chosen phrases."""
-        for piece in pieces(self.offsets, self.data):
+        for piece in pieces(self.offsets, self.data, self.size):
             own = chosen[self.piece[chosen] == piece.start]
             sizes = self.last[own] - self.first[own] + 1
             phrase = np.repeat(own, sizes)
@@ -169,7 +170,7 @@ class Parse:
             yield phrase, start, mixed(_hashes(piece, inner, inner + LENGTH))
 
 
-def parse(cells: pa.ChunkedArray) -> Parse:
+def parse(cells: pa.ChunkedArray, size: int = PIECE) -> Parse:
     docs = documents(cells)
     text = docs.column("text").combine_chunks().fill_null("")
     text = text.chunk(0) if isinstance(text, pa.ChunkedArray) else text
@@ -180,7 +181,7 @@ def parse(cells: pa.ChunkedArray) -> Parse:
     ids = docs.column("doc_id").fill_null(LAST).to_numpy().astype(np.int64)
     none = np.zeros(0, dtype=np.int64)
     parts = [(none.view(np.uint64), none.view(np.uint64), none, none, none, none)]
-    for piece in pieces(offsets, data):
+    for piece in pieces(offsets, data, size):
         own = parsed(piece)
         key = mixed(_hashes(piece, own.trigger, own.trigger + TRIGGER) ^ np.uint64(_ODD))
         shape = ((own.trigger - own.first) * 64 + own.last - own.first).astype(np.uint64)
@@ -188,7 +189,7 @@ def parse(cells: pa.ChunkedArray) -> Parse:
         doc = piece.doc[own.first]
         parts.append((key, phrase, doc, own.first + piece.start, own.last + piece.start, np.full(len(doc), piece.start)))
     key, phrase, doc, first, last, start = (np.concatenate(c) for c in zip(*parts))
-    return Parse(docs, ids, offsets, data, key, phrase, doc, first, last, start)
+    return Parse(docs, ids, offsets, data, key, phrase, doc, first, last, start, size)
 
 
 def _low(key: np.ndarray) -> np.ndarray:
@@ -236,17 +237,17 @@ _SPANS = (
 )
 
 
-def spans(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def spans(df: DataFrame, key: str = "doc_id", text: str = "text", piece: int = PIECE) -> DataFrame:
     """Per row: doc_id, the text's sha256, bytes, removed bytes, the removed runs (from, to), sha256 of what is kept."""
     buckets = bucket_count(df.sparkSession)
     chunks = chunk_cells(df, key, text, chunk_count(df, text, CHUNK_BYTES))
 
     def first(table: pa.Table) -> pa.Table:
-        own, chunk = parse(table.column("cell")), table.column("chunk")[0].as_py()
+        own, chunk = parse(table.column("cell"), piece), table.column("chunk")[0].as_py()
         return asked_table(Question(1, bucket_of(own.key, buckets)).rows(chunk, [_low(own.key)]))
 
     def second(left: pa.Table, right: pa.Table) -> pa.Table:
-        own, chunk = parse(left.column("cell")), left.column("chunk")[0].as_py()
+        own, chunk = parse(left.column("cell"), piece), left.column("chunk")[0].as_py()
         again = Question(1, bucket_of(own.key, buckets)).answers(right, "u1")
         at = np.flatnonzero(again)
         question = Question(2, bucket_of(own.key[at], buckets))
@@ -260,14 +261,14 @@ def spans(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         return state
 
     def third(left: pa.Table, right: pa.Table) -> pa.Table:
-        own, chunk = parse(left.column("cell")), left.column("chunk")[0].as_py()
+        own, chunk = parse(left.column("cell"), piece), left.column("chunk")[0].as_py()
         state = state_of(own, right)
         question, phrase, _, string = _compared(own, state, buckets)
         rows = question.rows(chunk, [string, own.ids[own.doc[phrase]]], steps=(1,))
         return asked_table([*rows, note(chunk, buckets, state)])
 
     def last(left: pa.Table, right: pa.Table) -> pa.Table:
-        own = parse(left.column("cell"))
+        own = parse(left.column("cell"), piece)
         state = note_of(right, "u1") if len(right) else np.zeros(len(own.key), dtype=np.uint8)
         question, _, start, _ = _compared(own, state, buckets)
         gone = question.answers(right, "u1").astype(bool)
