@@ -11,7 +11,7 @@ verified. Passages that many documents share so cost nothing, as long as they ma
 Steps:
 1. `sets`: per document the number of shingles and a hash of the set. Equal sets are one node from here on.
 2. `postings`: the longest prefix any l needs, dealt by shingle; only shingles of two or more nodes go on.
-3. `members`: a node whose prefix is mostly shared belongs to the families of its two most frequent prefix shingles.
+3. `members`: a node whose prefix is mostly shared belongs to the families of its three most frequent prefix shingles.
 4. `family_links`: members of a family are compared exactly, by the products of their shingle matrices, in blocks of at
    most 2 * `FAMILY_BLOCK` members, and each block gives the edges of a spanning forest only. So thousands of copies of one
    original make as many edges as members, not all their pairs.
@@ -49,7 +49,8 @@ FAMILY_BLOCK = 256
 
 _POSTING = {"token": "u8", "node": "u8", "n": "i4", "pos": "i4"}
 _SHARED = {**_POSTING, "df": "i4"}
-_PROBE = {**_POSTING, "level": "i4", "use": "i4", "family": "u8", "second": "u8"}
+_PROBE = {**_POSTING, "level": "i4", "use": "i4", "family": "u8", "second": "u8", "third": "u8"}
+_FAMILIES = ("family", "second", "third")
 
 
 def needed(n: np.ndarray) -> np.ndarray:
@@ -157,7 +158,7 @@ def _choice(rows: dict[str, np.ndarray], dear_df: int) -> dict[str, np.ndarray]:
     rows = {name: column[order] for name, column in rows.items()}
     node, n, pos, df = rows["node"], rows["n"].astype(np.int64), rows["pos"].astype(np.int64), rows["df"].astype(np.int64)
     if not len(node):
-        return rows | {name: np.zeros(0, dtype=_PROBE[name]) for name in ("level", "use", "family", "second")}
+        return rows | {name: np.zeros(0, dtype=_PROBE[name]) for name in ("level", "use", *_FAMILIES)}
     _, first, group, size = np.unique(node, return_index=True, return_inverse=True, return_counts=True)
     # A partner may be a fifth smaller, and its stored prefix has to be long enough too.
     prefix, levels, longest = base_prefix(n), most_levels(needed(n)), base_prefix(n) + most_levels(n) - 1
@@ -173,17 +174,17 @@ def _choice(rows: dict[str, np.ndarray], dear_df: int) -> dict[str, np.ndarray]:
     rank = np.empty(len(node), dtype=np.int64)
     rank[by_cost] = np.arange(len(node)) - first[group]
     use = inside & ~((cost > 0) & (rank < extra))
-    # Families: the two most frequent shingles, where at least half of the prefix is shared; 0 for none.
+    # Families: the three most frequent shingles, where at least half of the prefix is shared; 0 for none.
     by_df = np.lexsort((rows["token"], -df, group))
-    top = rows["token"][by_df[first]]
-    next_top = np.where(size > 1, rows["token"][by_df[np.minimum(first + 1, len(node) - 1)]], np.uint64(0))
     mostly = 2 * size >= np.minimum(longest, n)[first]
+    tops = {}
+    for i, name in enumerate(_FAMILIES):
+        top = rows["token"][by_df[np.minimum(first + i, len(node) - 1)]]
+        tops[name] = np.where(mostly & (size > i), top, np.uint64(0))[group]
     return rows | {
         "level": (1 + extra).astype(np.int32),
         "use": use.astype(np.int32),
-        "family": np.where(mostly, top, np.uint64(0))[group],
-        "second": np.where(mostly, next_top, np.uint64(0))[group],
-    }
+    } | tops
 
 
 def chosen(shared_cells: DataFrame, dear: int = DEAR) -> DataFrame:
@@ -198,13 +199,13 @@ def chosen(shared_cells: DataFrame, dear: int = DEAR) -> DataFrame:
 
 
 def members(shared_cells: DataFrame, dear: int = DEAR) -> DataFrame:
-    """Rows (family, node): up to two families a node."""
+    """Rows (family, node): up to three families a node."""
 
     def made(table: pa.Table) -> pa.Table:
         rows = _choice(unpacked(table.column("cell"), _SHARED), dear)
         node, at = np.unique(rows["node"], return_index=True)
-        family = np.concatenate([rows["family"][at], rows["second"][at]])
-        node = np.concatenate([node, node])[family != 0]
+        family = np.concatenate([rows[name][at] for name in _FAMILIES])
+        node = np.tile(node, len(_FAMILIES))[family != 0]
         return pa.table({"family": family[family != 0].view(np.int64), "node": node.view(np.int64)})
 
     return by_bucket(shared_cells, made, "family long, node long")
@@ -220,14 +221,14 @@ def family_links(member_rows: DataFrame, nodes: DataFrame, df: DataFrame, key: s
     )
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     partners = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.filter(every, lambda o: o != F.col("block")))
-    paired = stored(
-        dealt.withColumn("other", F.explode(partners)).select(
-            "family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node"
-        ),
-        "family-blocks",
+    dealt = stored(dealt, "family-blocks")
+    texts = node_texts(dealt.select("node").distinct(), nodes, df, key, text)
+    # Members of a block lie together before they are repeated for every other block: so near copies stand side by side
+    # in what is shuffled, where they compress to little.
+    members_together = dealt.join(texts, "node").repartition("family", "block").sortWithinPartitions("family", "block", "node")
+    rows = members_together.withColumn("other", F.explode(partners)).select(
+        "family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "text"
     )
-    texts = node_texts(paired.select("node").distinct(), nodes, df, key, text)
-    rows = paired.join(texts, "node").select("family", "i", "j", "node", "text")
     # Blocks are dealt evenly, also those of one large family.
     blocks_together = rows.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "node")
     return blocks_together.mapInArrow(_forests, "x long, y long").distinct()
@@ -327,6 +328,7 @@ def _sorted_probes(table: pa.Table) -> tuple[dict[str, np.ndarray], np.ndarray,
 
 
 BLOCK = 1 << 19
+SLACK = 2
 LARGE = 64
 
 
@@ -399,28 +401,35 @@ def _met(rows, n, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa
     for x, y in pairs:
         fits = (100 * n[y] >= 80 * n[x]) & ~_same_family(rows, x, y)
         fits &= rows["pos"][y] < base_prefix(n[y]) + rows["level"][x] - 1
+        # Sets of these two sizes share at least `least`; with SLACK more in either prefix they share SLACK + 1 probes.
+        least = -(-4 * (n[x] + n[y]) // 9)
+        slack = rows["level"][x] + SLACK + n[x] // 50
+        fits &= (rows["pos"][x] < n[x] - least + slack) & (rows["pos"][y] < n[y] - least + slack)
         yield _pairs(rows, x[fits], y[fits])
 
 
 def _same_family(rows: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
     same = np.zeros(len(x), dtype=bool)
-    for one in ("family", "second"):
-        for other in ("family", "second"):
+    for one in _FAMILIES:
+        for other in _FAMILIES:
             same |= (rows[one][x] == rows[other][y]) & (rows[one][x] != 0)
     return same
 
 
 def candidates(probe_rows: DataFrame) -> DataFrame:
-    """Pairs whose shared probes can still add up to the overlap they need.
+    """Pairs that share enough of the prefixes which `_met` compares.
 
-    Besides the counted ones a pair can share the level - 1 probes left out, and what lies behind the prefix of the one
-    whose prefix ends first.
+    With prefixes of n - o + level + s, where o is the overlap that the pair needs, linked sets share level + s of them or
+    all of a shorter prefix; at most level - 1 of those were left out as probes.
     """
     x, y, level = F.col("nx").cast("long"), F.col("ny").cast("long"), F.col("level").cast("long")
-    behind = lambda n: F.greatest(F.ceil(n * 80 / 100) - level, F.lit(0))  # noqa: E731  n - (n - t + level)
-    enough = 9 * (F.col("probes") + level - 1 + F.greatest(behind(x), behind(y))) >= 4 * (x + y)
+    least = F.ceil(F.expr("4 * (CAST(nx AS LONG) + ny) / 9"))
+    spare = SLACK + F.floor(x / 50)
+    # Prefixes that end earlier than that, as no longer ones are stored or probed.
+    end = lambda n: F.least(n - F.ceil(n * 80 / 100) + level, n - least + level + spare, n)
+    behind = F.greatest(x - end(x), y - end(y))
     counted = probe_rows.groupBy("x", "y", "nx", "ny", "level").agg(F.count(F.lit(1)).alias("probes"))
-    return counted.where(enough).select("x", "y")
+    return counted.where(F.col("probes") + level - 1 + behind >= least).select("x", "y")
 
 
 def _linked(left: pa.Array, right: pa.Array) -> pa.Array:
