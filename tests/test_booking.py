@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tripspark.operators.booking import book, bookable_requests, booked_rows, invalid_requests, last_key, missing_requests
-from tripspark.plans.bookings import run_bookings
+from tripspark.plans.bookings import read_bookings, run_bookings
+from tripspark.sources.tables import load_table
 from tripspark.schemas import BOOKING_REQUESTS
 
 NOW = "TIMESTAMP_NTZ'2024-02-01 12:00:00'"
@@ -76,16 +79,19 @@ def test_one_time_per_query(requests, routes):
 
 
 def test_run_appends_with_rising_keys(spark, requests, routes, tmp_path):
-    path = str(tmp_path / "booked")
-    results = run_bookings(requests, routes, path, now=F.expr(NOW))
-    assert rows(spark.read.parquet(path), "id", "service_provider", "route_id") == [(1, "drivenow", 1), (2, "deutschebahn", 8)]
+    path = str(tmp_path / "bookings")
+    results = run_bookings(requests, routes, path, 0, F.expr(NOW))
+    booked = [(1, "drivenow", 1), (2, "deutschebahn", 8)]
+    assert rows(read_bookings(spark, path), "id", "service_provider", "route_id") == booked
     assert results.count() == len(GOLDEN)
-    stored = spark.read.parquet(path)
-    assert last_key(stored) == 2
-    run_bookings(requests, routes, path, stored, now=F.expr(NOW))
-    assert [r[0] for r in rows(spark.read.parquet(path), "id")] == [1, 2, 3, 4]
-    assert run_bookings(requests, routes, path, spark.read.parquet(path), answered=results).count() == 0
-    assert spark.read.parquet(path).count() == 4
+    assert last_key(read_bookings(spark, path)) == 2
+    assert run_bookings(requests, routes, path, 0, F.expr(NOW)).count() == len(GOLDEN)  # the run again
+    assert run_bookings(requests.where("request_id IS NOT NULL"), routes, path, 1).count() == 0
+    again = requests.withColumn("request_id", F.col("request_id") + 1000)
+    run_bookings(again, routes, path, 2, F.expr(NOW))
+    assert [r[0] for r in rows(read_bookings(spark, path), "id")] == [1, 2, 3, 4]
+    shutil.copytree(f"{path}/booked", tmp_path / "booked_routes")
+    assert load_table(spark, "booked_routes", str(tmp_path)).count() == 4
 
 
 def test_no_bookings(spark, requests, routes):

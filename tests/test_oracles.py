@@ -4,30 +4,23 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tests.compare import differences, duck_connection
 from tests.conftest import DATA
-
-ROWS_ONLY = {"sampled_traces"}
-
+from tripspark.queries import QUERIES, SQL
 
 @pytest.fixture(scope="module")
 def duck():
     return duck_connection(DATA)
 
 
-def test_only_known_queries_lack_sql():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
-    assert set(oracle_sql()) <= set(queries())
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    result = queries()[name](spark, DATA)
-    if name in ROWS_ONLY:
-        assert result.count() > 0
-    else:
-        assert differences(result, duck, oracle_sql()[name]) == ""
+    assert differences(QUERIES[name](spark, DATA), duck, SQL[name]) == ""
 
 
 def test_entry_has_rows(spark):

@@ -6,12 +6,12 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
 from tests.conftest import DATA
 from tripspark.operators import booking, routes, spans
+from tripspark.queries import QUERIES
 from tripspark.sources.analog import AnalogTables
 
-BATCH = sorted(n for n in queries() if not n.startswith("stream_"))
+BATCH = sorted(n for n in QUERIES if not n.startswith("stream_"))
 
 
 def plan_of(df) -> str:
@@ -20,7 +20,7 @@ def plan_of(df) -> str:
 
 @pytest.mark.parametrize("name", BATCH)
 def test_no_python_and_no_row_products(spark, name):
-    plan = plan_of(queries()[name](spark, DATA))
+    plan = plan_of(QUERIES[name](spark, DATA))
     for part in ("PythonUDF", "EvalPython", "MapInPandas", "MapInArrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert part not in plan, part
     # a window without partition would put all rows in one task
@@ -29,9 +29,9 @@ def test_no_python_and_no_row_products(spark, name):
 
 
 def test_scans_read_only_needed_columns(spark):
-    plan = plan_of(queries()["span_names"](spark, DATA))
+    plan = plan_of(QUERIES["span_names"](spark, DATA))
     assert "ReadSchema: struct<event_type:string>" in plan
-    plan = plan_of(queries()["booking_missing"](spark, DATA))
+    plan = plan_of(QUERIES["booking_missing"](spark, DATA))
     assert "l_extendedprice" not in plan and "p_brand" not in plan
 
 
@@ -41,7 +41,7 @@ def test_filters_reach_the_scan(spark, tables):
 
 
 def test_cities_are_broadcast(spark):
-    plan = plan_of(queries()["city_pair_distance"](spark, DATA))
+    plan = plan_of(QUERIES["city_pair_distance"](spark, DATA))
     assert plan.count("BroadcastHashJoin") == 2 and "Exchange hashpartitioning" not in plan
 
 

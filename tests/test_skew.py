@@ -92,8 +92,13 @@ def test_positions(spark):
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(values=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 50)), min_size=1, max_size=80))
+@given(
+    values=st.lists(
+        st.tuples(st.one_of(st.none(), st.integers(0, 2)), st.one_of(st.none(), st.integers(0, 50))), min_size=1, max_size=80
+    )
+)
 def test_previous_value(spark, force_hot, values):
+    """With NULL groups, NULL places in the order, and ties."""
     df = spark.createDataFrame([(g, o, i) for i, (g, o) in enumerate(values)], "g INT, o INT, v INT")
     cut = previous_in_group(df, ["g"], ["o", "v"], "v", "p", F.floor(F.col("o") / 10))
     plain = df.withColumn("p", F.lag("v").over(Window.partitionBy("g").orderBy("o", "v")))
@@ -107,14 +112,31 @@ def test_dense_keys(spark):
     assert [k for k, _ in found] == list(range(42, 1042))
 
 
-def test_pages(spark):
-    df = spark.range(1000).select(F.when(F.col("id") < 700, 0).otherwise(F.col("id") % 5).alias("g"), (F.col("id") % 400).alias("e"))
-    found = pages(df, ["g"], ["e"], "es", page_size=50, distinct=True).collect()
-    by_group: dict[int, list[int]] = {}
-    for r in found:
-        assert r["es"] == sorted(r["es"])
-        by_group.setdefault(r["g"], []).extend(r["es"])
-    expected = {r["g"]: r["n"] for r in df.distinct().groupBy("g").agg(F.count("*").alias("n")).collect()}
-    assert {g: len(es) for g, es in by_group.items()} == expected
-    assert all(len(set(es)) == len(es) for es in by_group.values())
-    assert len([r for r in found if r["g"] == 0]) > 4
+@pytest.mark.parametrize("distinct", [True, False])
+@pytest.mark.parametrize("parts", [1, 7])
+def test_pages(spark, distinct, parts):
+    """Full pages in the order of the elements, whatever the partitioning; NULL groups and elements too."""
+    values = [(0 if i < 700 else i % 5 or None, i % 30 or None) for i in range(1000)]
+    found = pages(spark.createDataFrame(values, "g INT, e INT").repartition(parts), ["g"], ["e"], "es", 50, distinct).collect()
+    by_group = {}
+    for g, e in set(values) if distinct else values:
+        by_group.setdefault(g, []).append(e)
+    last = lambda e: (e is None, e or 0)  # noqa: E731  array_sort puts NULL last
+    assert len(found) == sum(-(-len(es) // 50) for es in by_group.values())
+    for g, es in by_group.items():
+        own = sorted((r for r in found if r["g"] == g), key=lambda r: r["page"])
+        assert [len(r["es"]) for r in own[:-1]] == [50] * (len(own) - 1)
+        assert [e for r in own for e in r["es"]] == sorted(es, key=last)
+
+
+def test_spreads_rows_with_maps(spark, force_hot):
+    left = spark.range(400).select(F.lit(1).alias("k"), F.create_map(F.lit("a"), F.col("id")).alias("m"))
+    right = spark.createDataFrame([(1, "one")], "k INT, w STRING")
+    assert lookup_join(left, right, ["k"], "inner").count() == 400
+
+
+def test_heavy_key_search_has_no_single_task(left):
+    """Summaries of tasks meet by groups of tasks."""
+    groups = skew._summaries(left.repartition(6).select(skew.key_hash(left, ["k"]).alias("hash")), 4, 8)
+    plan = groups._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "hashpartitioning(_groupingexpression" in plan

@@ -11,7 +11,7 @@ from tripspark.functions.traces import trace_key, trace_key_text
 from tripspark.operators import tracestore
 from tripspark.plans.catalogue import catalogue_of
 from tripspark.schemas import struct_of
-from tripspark.sinks.tables import day_range, expire_days, write_by_day, write_day_table
+from tripspark.sinks.tables import NO_DAY, day_range, expire_days, write_by_day, write_day_table
 
 DAY = 86_400_000_000
 
@@ -185,14 +185,18 @@ def test_days_outside_the_range_are_not_read(spark, spans, tmp_path):
     late = day_range(stored, DAY, DAY + 10)
     assert [r["id"] for r in late.collect()] == [4]
     assert "PartitionFilters: [isnotnull(day" in late._jdf.queryExecution().executedPlan().toString()
-    write_by_day(spans.where(f"start_ts >= {DAY}"), path)
-    assert spark.read.parquet(path).count() == 5
+    write_by_day(spans.where(f"start_ts >= {DAY}"), path, batch_id=1)  # late rows join their day ...
+    assert spark.read.parquet(path).count() == 6
+    write_by_day(spans.where(f"start_ts >= {DAY}"), path, batch_id=1)  # ... and a batch again replaces itself
+    assert spark.read.parquet(path).count() == 6
 
 
 def test_expired_days_are_dropped(spark, spans, tmp_path):
     spark.sql(f"CREATE DATABASE traces LOCATION '{tmp_path}/traces'")
-    write_day_table(spans.where("start_ts IS NOT NULL"), "traces.spans")
-    assert expire_days(spark, "traces.spans", date(1970, 1, 2)) == [date(1970, 1, 1)]
+    for _ in range(2):
+        write_day_table(spans, "traces.spans")
+    assert spark.table("traces.spans").count() == spans.count()
+    assert expire_days(spark, "traces.spans", date(1970, 1, 2)) == [NO_DAY, date(1970, 1, 1)]
     assert [r["id"] for r in spark.table("traces.spans").collect()] == [4]
     assert expire_days(spark, "traces.spans", date(1970, 1, 2)) == []
     spark.sql("DROP DATABASE traces CASCADE")

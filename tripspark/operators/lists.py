@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripspark.operators.skew import lookup_join
 from tripspark.session import stage
 
 PAGE_SIZE = 1000
@@ -23,29 +24,60 @@ def pages(
     page_size: int = PAGE_SIZE,
     distinct: bool = False,
 ) -> DataFrame:
-    """Elements per group as sorted arrays, with `distinct` each value once.
+    """Elements per group as sorted arrays of `page_size` elements, the last one shorter; with `distinct` each value once.
 
-    A group with up to `page_size` elements has the single page 0. Larger groups have more pages, of about
-    `page_size` elements each.
+    Page 0 has the first elements of the group's order, page 1 the next ones, whatever the partitioning. Equal elements
+    are counted first. In groups that need several pages the place of an element is the number of elements before it:
+    those in earlier ranges of the order, which are added up per range, and those before it in its own range.
     """
     rows = df.select(*group, *elements)
-    if distinct:
-        rows = rows.distinct()
+    counted = rows.groupBy(*group, *elements).agg((F.lit(1) if distinct else F.count(F.lit(1))).cast("long").alias("_n"))
+    counted = stage(counted, "counted-elements")
     large = stage(
-        rows.groupBy(*group)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > page_size)
-        .select(*group, F.ceil(F.col("_n") / page_size).alias("_pages")),
+        counted.groupBy(*group).agg(F.sum("_n").alias("_all")).where(F.col("_all") > page_size).select(*group),
         "large-groups",
     )
-    # The task number keeps equal elements of a large group apart.
-    place = F.xxhash64(*elements) if distinct else F.xxhash64(*elements, F.spark_partition_id())
-    page = F.pmod(F.col("_place"), F.coalesce("_pages", F.lit(1)).cast("bigint")).cast("int")
+    same = reduce(lambda a, b: a & b, [F.col(f"c.{g}").eqNullSafe(F.col(f"l.{g}")) for g in group])
+    small = counted.alias("c").join(large.alias("l"), same, "left_anti").withColumns(
+        {"page": F.lit(0), "_times": F.col("_n")}
+    )
+    paged = _paged(counted.alias("c").join(large.alias("l"), same, "left_semi"), group, elements, page_size)
     item = F.col(elements[0]) if len(elements) == 1 else F.struct(*elements)
+    columns = [*group, *elements, "page", "_times"]
     return (
-        lookup_join(rows.withColumn("_place", place), large, group, "left", check_size=True)
-        .withColumn("page", page)
-        .repartition(*[F.col(c) for c in [*group, "page"]])
+        small.select(*columns)
+        .unionByName(paged.select(*columns))
         .groupBy(*group, "page")
-        .agg(F.array_sort(F.collect_list(item)).alias(name))
+        .agg(
+            F.array_sort(
+                F.flatten(F.collect_list(F.array_repeat(item, F.col("_times").cast("int"))))
+            ).alias(name)
+        )
+    )
+
+
+def _paged(counted: DataFrame, group: list[str], elements: list[str], page_size: int) -> DataFrame:
+    """One row per element and page, with `_times`, the copies of the element on that page."""
+    # The order of array_sort: a NULL element comes last, a NULL within a struct first.
+    by_element = [F.col(e).asc_nulls_last() if len(elements) == 1 else F.col(e).asc() for e in elements]
+    ranged = stage(
+        counted.repartitionByRange(*group, *by_element).withColumn("_range", F.spark_partition_id()), "ranged-elements"
+    )
+    before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = (
+        ranged.groupBy(*group, "_range")
+        .agg(F.sum("_n").alias("_in_range"))
+        .select(*group, "_range", F.coalesce(F.sum("_in_range").over(before), F.lit(0)).alias("_shift"))
+        .alias("s")
+    )
+    inside = Window.partitionBy(*group, "_range").orderBy(*by_element).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn("_local", F.coalesce(F.sum("_n").over(inside), F.lit(0))).alias("r")
+    keys = [*group, "_range"]
+    same = reduce(lambda a, b: a & b, [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys])
+    placed = local.join(shifts, same).select(
+        *[F.col(f"r.{c}") for c in [*group, *elements, "_n"]], (F.col("r._local") + F.col("s._shift")).alias("_start")
     )
+    end, page = F.col("_start") + F.col("_n"), F.col("page")
+    first, last = page_of(F.col("_start"), page_size), page_of(end - 1, page_size)
+    times = F.least(end, (page + 1).cast("long") * page_size) - F.greatest(F.col("_start"), page.cast("long") * page_size)
+    return placed.withColumn("page", F.explode(F.sequence(first, last))).withColumn("_times", times)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
@@ -49,31 +50,32 @@ def previous_in_group(
     hot = hot_keys(df, group)
     if not hot:
         return df.withColumn(name, F.lag(value).over(Window.partitionBy(*group).orderBy(*order)))
-    marked = df.withColumn("_chunk", F.when(is_hot(df, group, hot), chunk))
-    keys = [*group, "_chunk"]
+    heavy = F.coalesce(is_hot(df, group, hot), F.lit(False))
+    marked = df.withColumns({"_heavy": heavy, "_chunk": F.when(heavy, chunk)})
+    keys = [*group, "_heavy", "_chunk"]
     window = Window.partitionBy(*keys).orderBy(*order)
+    # Rows without place in the order make a chunk of their own, the first one.
     starts = (
-        marked.where(F.col("_chunk").isNotNull())
+        marked.where("_heavy")
         .groupBy(*keys)
         .agg(F.max_by(value, F.struct(*order)).alias("_last"))
         .select(*keys, F.lag("_last").over(Window.partitionBy(*group).orderBy("_chunk")).alias("_before"))
+        .alias("s")
     )
-    return (
-        marked.withColumns({"_local": F.lag(value).over(window), "_at": F.row_number().over(window)})
-        .join(starts, keys, "left")
-        .withColumn(name, F.when(F.col("_at") == 1, F.col("_before")).otherwise(F.col("_local")))
-        .select(*df.columns, name)
-    )
+    local = marked.withColumns({"_local": F.lag(value).over(window), "_at": F.row_number().over(window)}).alias("m")
+    same = reduce(lambda a, b: a & b, [F.col(f"m.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys])
+    before = F.when(F.col("m._at") == 1, F.col("s._before")).otherwise(F.col("m._local"))
+    return local.join(starts, same, "left").select(*[F.col(f"m.{c}") for c in df.columns], before.alias(name))
 
 
 def with_dense_keys(df: DataFrame, order: list[str], name: str = "id", start: int = 0) -> DataFrame:
     """Keys start+1, start+2, ... in the given order.
 
-    The rows are range-partitioned and stored with their place; only the row count of each partition
-    reaches the driver.
+    The rows are stored, range-partitioned and stored again with their place, as the range partitioning reads its input
+    twice; only the row count of each partition reaches the driver.
     """
     placed = stage(
-        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id()),
+        stage(df, "unplaced").repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id()),
         "dense-keys",
     )
     part = F.shiftright("_place", 33)

@@ -11,13 +11,11 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
+from pyspark.sql.types import DataType, IntegralType
 
 HOT_PARTITIONS = 2.0  # a key is heavy when it has more rows than this many average partitions ...
 HOT_ROWS = 1_000_000  # ... and at least this many
-MAX_HOT = 4000  # heavy keys looked for; rarer keys are left to the plain join
 SMALL_ROWS = 100_000  # tables up to this size may be broadcast
-MAX_SALTS = 512
 
 HotKeys = dict[int, float]  # hash of a heavy key -> share of the rows
 
@@ -35,20 +33,47 @@ def key_hash(df: DataFrame, keys: list[str]) -> Column:
     return F.xxhash64(*[wide(k) for k in keys])
 
 
+_FOUND: dict[tuple, HotKeys] = {}
+
+
+def _summaries(hashes: DataFrame, partitions: int, listed: int) -> DataFrame:
+    """The most frequent hashes of each group of tasks, and the rows of the group."""
+    followed = 1 << math.ceil(math.log2(8 * listed))
+    return hashes.groupBy(F.pmod(F.spark_partition_id(), F.lit(partitions)).alias("_tasks")).agg(
+        F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(hash, {listed}, {followed})").alias("top")
+    )
+
+
 def hot_keys(df: DataFrame, keys: list[str]) -> HotKeys:
-    """Hashes of heavy keys, from one pass over the key columns with a small summary per task.
+    """Hashes of heavy keys, from one pass over the key columns.
 
-    Counts are estimates: a wrong one changes how rows are spread, never the rows. Summaries follow 65,536 keys, which
-    finds every key with a share above 1/MAX_HOT.
+    Each task sums up its keys, groups of tasks merge their summaries, and the heavy keys of the groups are added up by
+    key: no task sees more summaries than there are tasks per shuffle partition. A summary follows several times as many
+    keys as can be heavy, so a heavy key is in the list of every group where it has its share. Counts are estimates: a
+    wrong one changes how rows are spread, never the rows. The answer is kept for the same table and keys.
     """
-    row = (
-        df.select(key_hash(df, keys).alias("hash"))
-        .agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(hash, {MAX_HOT}, 65536)").alias("top"))
-        .first()
-    )
-    share = min(0.25, max(1 / MAX_HOT, HOT_PARTITIONS / _partitions(df)))
-    least = max(HOT_ROWS, share * row["n"])
-    return {t["item"]: t["count"] / row["n"] for t in row["top"] or [] if t["count"] > least}
+    partitions = _partitions(df)
+    hashes = df.select(key_hash(df, keys).alias("hash"))
+    known = (df.sparkSession.sparkContext.applicationId, hashes.semanticHash(), partitions, HOT_ROWS, HOT_PARTITIONS)
+    if known not in _FOUND:
+        share = min(0.25, HOT_PARTITIONS / partitions)
+        groups = _summaries(hashes, partitions, math.ceil(2 / share)).persist()
+        try:
+            total = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+            least = max(HOT_ROWS, share * total)
+            heavy = (
+                groups.select(F.explode("top").alias("t"))
+                .groupBy(F.col("t.item").alias("hash"))
+                .agg(F.sum("t.count").alias("n"))
+                .where(F.col("n") > least)
+                .collect()  # fewer than 1 / share rows
+            )
+        finally:
+            groups.unpersist()
+        if len(_FOUND) >= 1000:
+            _FOUND.clear()
+        _FOUND[known] = {r["hash"]: r["n"] / total for r in heavy}
+    return _FOUND[known]
 
 
 def is_hot(df: DataFrame, keys: list[str], hot: HotKeys) -> Column:
@@ -63,12 +88,18 @@ def is_small(df: DataFrame, rows: int | None = None) -> bool:
 
 def _salt_count(df: DataFrame, hot: HotKeys) -> int:
     """Pieces about as large as an average partition."""
-    return max(2, min(MAX_SALTS, math.ceil(_partitions(df) * max(hot.values()))))
+    return max(2, math.ceil(_partitions(df) * max(hot.values())))
+
+
+def _has_map(kind: DataType) -> bool:
+    """Maps, and what holds them, have no hash."""
+    return "map<" in kind.simpleString()
 
 
 def _spread(df: DataFrame, heavy: Column, salts: int) -> DataFrame:
     # The task number keeps equal rows apart; a task run again puts its rows in the same places.
-    piece = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
+    hashed = [f.name for f in df.schema.fields if not _has_map(f.dataType)]
+    piece = F.pmod(F.xxhash64(*hashed, F.spark_partition_id()), F.lit(salts)).cast("int")
     return df.withColumn("_salt", F.when(heavy, piece).otherwise(F.lit(0)))
 
 
@@ -113,7 +144,7 @@ def fanout_left_join(left: DataFrame, right: DataFrame, keys: list[str]) -> Data
         return left.join(right, keys, "left")
     salts = _salt_count(right, hot)
     heavy_right = is_hot(right, keys, hot)
-    # As many rows as there are heavy hashes, so at most MAX_HOT unless hashes collide.
+    # As many rows as there are heavy hashes, so at most about the number of partitions.
     heavy_keys = right.where(heavy_right).select(*keys).distinct().withColumn("_heavy", F.lit(True))
     marked = left.join(F.broadcast(heavy_keys), keys, "left")
     joined = _repeat(marked, F.col("_heavy").isNotNull(), salts).join(

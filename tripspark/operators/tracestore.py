@@ -37,12 +37,17 @@ def service_catalogue(services: DataFrame, suffix: str = MOBILITY_SUFFIX) -> Dat
 
 
 def span_services(annotations: DataFrame) -> DataFrame:
-    """Service of each span: the name on its earliest annotation that has one, ties by name."""
+    """Service of each span: the name on its earliest annotation that has one, ties by name.
+
+    Annotations without time come last.
+    """
     return (
         annotations.where(F.col("endpoint_service_name").isNotNull())
         .groupBy(*ANNOTATION_SPAN)
         .agg(
-            F.min_by("endpoint_service_name", F.struct("a_timestamp", "endpoint_service_name")).alias("service")
+            F.min_by(
+                "endpoint_service_name", F.struct(F.col("a_timestamp").isNull(), "a_timestamp", "endpoint_service_name")
+            ).alias("service")
         )
         .withColumnRenamed("span_id", "id")
     )

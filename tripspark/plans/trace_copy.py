@@ -8,6 +8,7 @@ from tripspark.operators.spans import (
     annotation_ledger, annotation_points, span_ledger, span_rows, to_points, unprocessed_annotations,
     unprocessed_spans, unscanned,
 )
+from tripspark.session import stage
 from tripspark.sinks.points import write_points
 from tripspark.vocabulary import ANNOTATION_MEASUREMENT, SPAN_MEASUREMENT
 
@@ -19,20 +20,22 @@ def copy_spans(
     ledger_path: str,
     ledger: DataFrame | None = None,
     parity: bool = False,
+    use_high: bool = False,
 ) -> None:
     """Write points of spans not copied yet, then their keys.
 
-    Points come first: a run that stops between the two writes sends them again, and equal points overwrite each other.
+    Both come from one stored set of new rows, so what arrives meanwhile waits for the next run. Points come first: a run that stops between the two writes sends them again, and equal points overwrite each other.
     """
-    new = spans if ledger is None else unprocessed_spans(spans, ledger)
-    write_points(to_points(span_rows(new, annotations, parity), parity), SPAN_MEASUREMENT, points_path)
+    new = stage(spans if ledger is None else unprocessed_spans(spans, ledger), "new-spans")
+    write_points(to_points(span_rows(new, annotations, parity, use_high), parity), SPAN_MEASUREMENT, points_path)
     span_ledger(unscanned(new)).write.mode("append").parquet(ledger_path)
 
 
 def copy_annotations(
     annotations: DataFrame, points_path: str, ledger_path: str, ledger: DataFrame | None = None, parity: bool = False
 ) -> None:
-    new = annotations if ledger is None else unprocessed_annotations(annotations, ledger)
+    """The same for annotations."""
+    new = stage(annotations if ledger is None else unprocessed_annotations(annotations, ledger), "new-annotations")
     write_points(annotation_points(new, parity), ANNOTATION_MEASUREMENT, points_path)
     annotation_ledger(unscanned(new)).write.mode("append").parquet(ledger_path)
 

@@ -25,9 +25,12 @@ def asked_pairs(requests: DataFrame, cities: DataFrame) -> DataFrame:
 
 
 def answer_routes(pairs: DataFrame, routes: DataFrame) -> DataFrame:
-    """Routes of the pairs that have status 'ok', numbered from 0 within the pair, with the pair's columns."""
+    """Routes of the pairs that have status 'ok', numbered from 0 within the pair, with the pair's columns.
+
+    Numbering reads its rows twice, so the routes that someone asks for are stored first.
+    """
     valid = pairs.where(F.col("status") == "ok")
-    return numbered_routes(lookup_join(with_rank(routes), valid, PAIR, "inner", check_size=True))
+    return numbered_routes(stage(lookup_join(with_rank(routes), valid, PAIR, "inner", check_size=True), "asked-routes"))
 
 
 def trip_search(requests: DataFrame, cities: DataFrame, routes: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:

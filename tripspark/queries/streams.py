@@ -9,7 +9,7 @@ from tripspark.functions.times import time_of_micros
 from tripspark.operators import spans, tracestore
 from tripspark.queries.bookings import FIXED_TIME
 from tripspark.queries.registry import query
-from tripspark.session import fresh_path, no_more_partitions_than_cores, use_disk_state
+from tripspark.session import fresh_path, stage, use_disk_state
 from tripspark.sources.analog import AnalogTables
 from tripspark.streaming import bookings, copy, traces
 from tripspark.streaming.files import UNTIL_DONE, file_stream
@@ -17,22 +17,28 @@ from tripspark.streaming.files import UNTIL_DONE, file_stream
 DAY = 86_400_000_000
 
 
-def _as_stream(rows: DataFrame, name: str, time: str | None = None) -> DataFrame:
-    """Rows stored in the work folder, read as a stream.
+def _as_stream(rows: DataFrame, name: str, order: str, end_mark: bool = False) -> DataFrame:
+    """Rows stored in the work folder, read as a stream of several micro-batches: first the earlier half, then the rest.
 
-    With `time` (microseconds) one more row follows a day after the last. It moves the watermark past the others, and
-    its negative ids match nothing.
+    With `end_mark`, where `order` holds microseconds, one more row follows a day after the last. It moves the watermark
+    past the others, and its negative ids match nothing.
     """
-    path = fresh_path(use_disk_state(rows.sparkSession), name)
-    rows.write.parquet(path)
-    if time:
-        last = rows.agg(F.max(time).alias("_last"))
+    spark = use_disk_state(rows.sparkSession)
+    path = fresh_path(spark, name)
+    rows = stage(rows, name)
+    middle = rows.agg(F.percentile_approx(order, 0.5).alias("m")).select(F.col("m").cast(rows.schema[order].dataType))
+    later = F.coalesce(F.col(order) > middle.scalar(), F.lit(False))
+    rows.where(~later).write.parquet(path)
+    files = len(spark.read.parquet(path).inputFiles())
+    rows.where(later).write.mode("append").parquet(path)
+    if end_mark:
+        last = rows.agg(F.max(order).alias("_last"))
         marks = {
-            f.name: F.col("_last") + DAY if f.name == time else F.lit(-1 if f.name.endswith("id") else None).cast(f.dataType)
+            f.name: F.col("_last") + DAY if f.name == order else F.lit(-1 if f.name.endswith("id") else None).cast(f.dataType)
             for f in rows.schema.fields
         }
         last.select(*[c.alias(n) for n, c in marks.items()]).write.mode("append").parquet(path)
-    return file_stream(rows.sparkSession, path, rows.schema)
+    return file_stream(spark, path, rows.schema, files)
 
 
 def _paths(t: AnalogTables, name: str) -> tuple[str, str]:
@@ -43,8 +49,7 @@ def _collected(t: AnalogTables, stream: DataFrame, name: str) -> DataFrame:
     """Everything the stream puts out, from the files it wrote."""
     out, checkpoint = _paths(t, name)
     writer = stream.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
-    with no_more_partitions_than_cores(t.spark):
-        writer.trigger(**UNTIL_DONE).format("parquet").option("path", out).start().awaitTermination()
+    writer.trigger(**UNTIL_DONE).format("parquet").option("path", out).start().awaitTermination()
     return t.spark.read.schema(stream.schema).parquet(out)
 
 
@@ -52,26 +57,20 @@ def _collected(t: AnalogTables, stream: DataFrame, name: str) -> DataFrame:
 def stream_span_points(t: AnalogTables) -> DataFrame:
     """Uncopied spans and their annotations arrive as two streams."""
     out, checkpoint = _paths(t, "stream-points")
-    started = _as_stream(spans.unscanned(t.spans()), "spans-in", "start_ts")
-    noted = _as_stream(t.annotations(), "annotations-in", "a_timestamp")
-    with no_more_partitions_than_cores(t.spark):
-        copy.start_copy(started, noted, out, checkpoint, UNTIL_DONE).awaitTermination()
-    return t.spark.read.parquet(f"{out}/points").drop("batch_id")
+    started = _as_stream(spans.unscanned(t.spans()), "spans-in", "start_ts", end_mark=True)
+    noted = _as_stream(t.annotations(), "annotations-in", "a_timestamp", end_mark=True)
+    copy.start_copy(started, noted, out, checkpoint, UNTIL_DONE).awaitTermination()
+    copy.settle_copy(spans.unscanned(t.spans()), t.annotations(), out)
+    return copy.read_points(t.spark, out)
 
 
 @query("SELECT * FROM v_results")
 def stream_booking_results(t: AnalogTables) -> DataFrame:
     """Booking requests arrive at the time of their order, each twice."""
-    requests = t.booking_requests().join(
-        t.table("orders").select(
-            F.col("o_orderkey").alias("request_id"), F.col("o_orderdate").cast("timestamp").alias("requested_at")
-        ),
-        "request_id",
-    )
+    requests = t.booking_requests(F.col("o_orderdate").cast("timestamp").alias("requested_at"))
     out, checkpoint = _paths(t, "stream-bookings")
-    asked, routes, now = _as_stream(requests.unionByName(requests), "bookings-in"), t.stored_routes(), F.expr(FIXED_TIME)
-    with no_more_partitions_than_cores(t.spark):
-        bookings.start_bookings(asked, routes, out, checkpoint, UNTIL_DONE, now=now).awaitTermination()
+    asked, routes, now = _as_stream(requests.unionByName(requests), "bookings-in", "requested_at"), t.stored_routes(), F.expr(FIXED_TIME)
+    bookings.start_bookings(asked, routes, out, checkpoint, UNTIL_DONE, now=now).awaitTermination()
     return t.spark.read.parquet(f"{out}/results").drop("batch_id")
 
 
@@ -79,7 +78,7 @@ def stream_booking_results(t: AnalogTables) -> DataFrame:
 def stream_first_spans(t: AnalogTables) -> DataFrame:
     """Spans arrive twice and are kept once."""
     rows = t.spans()
-    once = traces.first_of_key(_as_stream(rows.unionByName(rows), "first-in"), spans.SPAN_KEY, "start_ts")
+    once = traces.first_of_key(_as_stream(rows.unionByName(rows), "first-in", "start_ts"), spans.SPAN_KEY, "start_ts")
     return _collected(t, once, "first-spans")
 
 
@@ -89,7 +88,7 @@ SELECT date_trunc('minute', time) AS window_start, endpoint_service_name AS serv
 FROM v_points GROUP BY ALL""")
 def stream_point_counts(t: AnalogTables) -> DataFrame:
     points = spans.to_points(spans.span_rows(t.spans(parents=False), t.annotations())).drop("time")
-    timed = _as_stream(points, "points-in", "time_us").withColumn("time", time_of_micros(F.col("time_us")))
+    timed = _as_stream(points, "points-in", "time_us", end_mark=True).withColumn("time", time_of_micros(F.col("time_us")))
     counts = traces.stream_point_counts(timed)
     return _collected(t, counts.withColumn("mean_duration", F.round("mean_duration", 4)), "point-counts")
 
@@ -97,7 +96,6 @@ def stream_point_counts(t: AnalogTables) -> DataFrame:
 @query("SELECT day, parent, child, COUNT(*) AS call_count FROM v_links GROUP BY day, parent, child")
 def stream_dependency_links(t: AnalogTables) -> DataFrame:
     out, checkpoint = _paths(t, "stream-links")
-    named = _as_stream(tracestore.with_service(t.spans(), t.annotations()), "links-in")
-    with no_more_partitions_than_cores(t.spark):
-        traces.start_links(named, out, checkpoint, UNTIL_DONE, bound="31 days").awaitTermination()
+    named = _as_stream(tracestore.with_service(t.spans(), t.annotations()), "links-in", "start_ts")
+    traces.start_links(named, out, checkpoint, UNTIL_DONE, bound="31 days").awaitTermination()
     return traces.read_links(t.spark, out)

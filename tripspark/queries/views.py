@@ -48,7 +48,35 @@ SELECT c_name AS username, (c_acctbal >= 0) AS enabled FROM customer""",
 SELECT c_name AS username, CONCAT('ROLE_', c_mktsegment) AS role FROM customer WHERE c_custkey % 10 <> 0
 UNION ALL
 SELECT c_name AS username, 'ROLE_ADMIN' AS role FROM customer WHERE c_nationkey < 5""",
+    "v_varied_spans": """
+SELECT CAST(user_id % 2 AS BIGINT) AS trace_id_high, user_id AS trace_id, event_id AS id, event_type AS name,
+       CAST(NULL AS BIGINT) AS parent_id, CASE WHEN event_id % 13 <> 0 THEN epoch_us(ts) END AS start_ts,
+       CAST(FLOOR(value*1000) AS BIGINT) AS duration, (event_id % 3 = 0) AS scanned
+FROM events""",
+    "v_varied_annotations": """
+SELECT CAST(user_id % 2 AS BIGINT) AS trace_id_high, user_id AS trace_id, event_id AS span_id,
+       ['http', 'k', 'sr'][i + 1] AS a_key, event_type || '-' || i AS a_value,
+       CASE WHEN i = 2 THEN -1 ELSE 6 END AS a_type,
+       CASE WHEN NOT (i = 1 AND event_id % 11 = 0) THEN epoch_us(date_trunc('minute', ts)) END AS a_timestamp,
+       CAST(event_id % 1000 AS INT) AS endpoint_ipv4, CAST(NULL AS VARCHAR) AS endpoint_ipv6,
+       CASE WHEN i = 0 THEN 50000 ELSE 8080 END AS endpoint_port,
+       'svc-' || (event_id % 7) AS endpoint_service_name, (event_id % 4 = 0) AS scanned
+FROM (SELECT *, UNNEST(range(0, event_id % 3 + 1)) AS i FROM events)""",
     # Tables of answers, each built from the ones above.
+    "v_varied_joined": """
+SELECT t1.trace_id, COALESCE(t2.span_id, t1.id) AS span_id, t1.parent_id, t1.name, t2.endpoint_service_name,
+       t2.endpoint_port, t2.a_key, t2.a_value, t2.a_type, t2.endpoint_ipv4, t2.endpoint_ipv6, t1.start_ts,
+       t2.a_timestamp, t1.duration
+FROM v_varied_spans t1 LEFT JOIN v_varied_annotations t2
+  ON t1.trace_id_high = t2.trace_id_high AND t1.trace_id = t2.trace_id AND t1.id = t2.span_id
+WHERE NOT t1.scanned""",
+    "v_varied_points": """
+SELECT COALESCE(a_timestamp, start_ts) AS time_us, make_timestamp(COALESCE(a_timestamp, start_ts)) AS time, trace_id,
+       span_id, COALESCE(parent_id, 0) AS parent_id, name, COALESCE(endpoint_service_name, '') AS endpoint_service_name,
+       COALESCE(endpoint_port, 0) AS endpoint_port, COALESCE(a_key, '') AS a_key, COALESCE(a_value, '') AS a_value,
+       COALESCE(a_type, 0) AS a_type, COALESCE(endpoint_ipv4, 0) AS endpoint_ipv4, '' AS endpoint_ipv6,
+       COALESCE(start_ts, 0) AS start_ts, COALESCE(duration, 0) AS duration, 1 AS a_number
+FROM v_varied_joined WHERE COALESCE(a_timestamp, start_ts) IS NOT NULL""",
     "v_named": """
 SELECT origin, destination FROM v_trip_requests
 UNION SELECT LEAST(origin, destination), GREATEST(origin, destination) FROM v_trip_requests
@@ -90,7 +118,7 @@ LEFT JOIN (SELECT DISTINCT service_provider, route_id FROM v_routes) k
     "v_services": """
 SELECT trace_id_high, trace_id, span_id AS id, endpoint_service_name AS service
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY trace_id_high, trace_id, span_id
-             ORDER BY a_timestamp, endpoint_service_name) AS place FROM v_annotations)
+             ORDER BY a_timestamp NULLS LAST, endpoint_service_name) AS place FROM v_annotations)
 WHERE place = 1""",
     "v_joined": """
 SELECT t1.trace_id, t2.span_id, t1.id, t1.parent_id, t1.name, t2.endpoint_service_name, t2.endpoint_port, t2.a_key,

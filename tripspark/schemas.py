@@ -6,7 +6,7 @@ from pyspark.sql.types import StructType
 
 CITIES = "city_id INT NOT NULL, city_name STRING, latitude DOUBLE, longitude DOUBLE"
 ROUTES = "route_id INT NOT NULL, origin INT, destination INT, traveldate TIMESTAMP_NTZ, partner STRING, cost INT"
-BOOKED_ROUTES = "id INT NOT NULL, service_provider STRING, route_id INT, booking_time TIMESTAMP_NTZ"
+BOOKED_ROUTES = "id BIGINT NOT NULL, service_provider STRING, route_id BIGINT, booking_time TIMESTAMP_NTZ"
 # No password column: nothing here needs one.
 USERS = "username STRING NOT NULL, enabled BOOLEAN NOT NULL"
 USER_ROLES = "user_role_id INT NOT NULL, username STRING NOT NULL, role STRING NOT NULL"

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,18 +34,6 @@ def use_disk_state(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@contextmanager
-def no_more_partitions_than_cores(spark: SparkSession) -> Iterator[None]:
-    """For streams that end soon: every partition of a stateful stream has a store of its own in every batch."""
-    name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(min(int(before), spark.sparkContext.defaultParallelism)))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def use_utc(spark: SparkSession) -> SparkSession:
     """Stored times have no zone and epoch values are UTC, so the session must be UTC too."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -59,20 +45,41 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="tripspark-")
 
 
+def runs_in_one_process(spark: SparkSession) -> bool:
+    """True where driver and executors share their folders because they are one process."""
+    master = spark.sparkContext.master
+    return master.startswith("local") and not master.startswith("local-cluster")
+
+
 def work_folder(spark: SparkSession) -> str:
-    """The shared folder named in spark.checkpoint.dir; a local one only where none is set (tests)."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
+    """A folder of this application in spark.checkpoint.dir, which all executors share.
+
+    Where that is unset only a local session, whose executors are the driver, gets a temporary folder instead.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not runs_in_one_process(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = _local_folder()
+    return f"{shared.rstrip('/')}/tripspark/{spark.sparkContext.applicationId}"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{work_folder(spark).rstrip('/')}/tripspark/{name}-{uuid.uuid4().hex}"
+    return f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete everything this application has staged. Results that read a staged table must be written before."""
+    jvm, path = spark.sparkContext._jvm, work_folder(spark)
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     Every reader of the result then sees the same rows, also after an executor is lost, and
-    reads only the columns it needs. Staged tables stay until the folder is cleaned.
+    reads only the columns it needs. Staged tables stay until `clear_work`, or whoever owns the folder, deletes them.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)

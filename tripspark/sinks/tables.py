@@ -24,35 +24,62 @@ def replace_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
 
-def write_by_day(spans: DataFrame, path: str, time: str = "start_ts") -> None:
+def has_batches(spark: SparkSession, path: str) -> bool:
+    """Whether anything was written by `replace_batch` yet."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
+NO_DAY = date(1, 1, 1)  # the day of rows without time: before every cutoff, so they expire with the next run
+
+
+def by_day(spans: DataFrame, time: str = "start_ts") -> DataFrame:
+    return spans.withColumn("day", F.coalesce(day_of_micros(F.col(time)), F.to_date(F.lit("0001-01-01")))).hint("rebalance", "day")
+
+
+def write_by_day(spans: DataFrame, path: str, time: str = "start_ts", batch_id: int = 0) -> None:
     """Store rows by UTC day, so time ranges and retention read whole folders or skip them.
 
-    Days in `spans` replace the stored days. The rebalance hint lets Spark split a large day over several tasks.
+    Each batch has a folder of its own below each day: late rows join what their day has, and a batch written again
+    replaces itself alone. The rebalance hint lets Spark split a large day over several tasks.
     """
     (
-        spans.withColumn("day", day_of_micros(F.col(time)))
-        .hint("rebalance", "day")
+        by_day(spans, time)
+        .withColumn("batch_id", F.lit(batch_id))
         .write.mode("overwrite")
-        .partitionBy("day")
+        .partitionBy("day", "batch_id")
         .option("partitionOverwriteMode", "dynamic")
         .parquet(path)
     )
 
 
-def write_day_table(spans: DataFrame, table: str, time: str = "start_ts") -> None:
+def write_day_table(spans: DataFrame, table: str, time: str = "start_ts", batch_id: int = 0) -> None:
     """The same as a catalog table."""
-    by_day = spans.withColumn("day", day_of_micros(F.col(time))).hint("rebalance", "day")
-    by_day.write.mode("append").partitionBy("day").saveAsTable(table)
+    spark = spans.sparkSession
+    rows = by_day(spans, time).withColumn("batch_id", F.lit(batch_id))
+    if not spark.catalog.tableExists(table):
+        rows.limit(0).write.partitionBy("day", "batch_id").saveAsTable(table)
+    columns = spark.table(table).columns
+    rows.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+
+
+def write_links(links: DataFrame, path: str) -> None:
+    """Daily link counts (day, parent, child, call_count). A day that is counted again replaces its earlier counts."""
+    links.write.mode("overwrite").partitionBy("day").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def expire_days(spark: SparkSession, table: str, cutoff: date) -> list[date]:
-    """Drop the days before `cutoff` from a table written by day. Only the list of days is read."""
-    stored = [row["partition"].removeprefix("day=") for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
-    old = sorted(date.fromisoformat(day) for day in stored if day[:1].isdigit())
-    expired = [day for day in old if day < cutoff]
-    for day in expired:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (day = DATE '{day}')")
-    return expired
+    """Drop the days before `cutoff`, and rows without time, from a table written by day. Only the list of days is read."""
+    parts = [dict(p.split("=", 1) for p in row["partition"].split("/")) for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    old = [p for p in parts if p["day"][:1].isdigit() and date.fromisoformat(p["day"]) < cutoff]
+    for p in old:
+        whole = f"day = DATE '{p['day']}', batch_id = {p['batch_id']}"
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({whole})")
+    return sorted({date.fromisoformat(p["day"]) for p in old})
 
 
 def day_range(stored: DataFrame, start: int, end: int, time: str = "start_ts") -> DataFrame:

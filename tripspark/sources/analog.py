@@ -91,7 +91,8 @@ class AnalogTables:
             F.when(key % 40 == 0, 99).otherwise((key * 7) % 25).cast("int").alias("destination"),
         )
 
-    def booking_requests(self) -> DataFrame:
+    def booking_requests(self, *more: Column) -> DataFrame:
+        """One request per order; `more` are further columns of the order."""
         priority = F.col("o_orderpriority")
         service = (
             F.when(priority.startswith("1"), "drive-now")
@@ -102,6 +103,7 @@ class AnalogTables:
             F.col("o_orderkey").alias("request_id"),
             service.alias("service"),
             (F.col("o_orderkey") * 10 + 1).alias("route_id"),
+            *more,
         )
 
     def spans(self, parents: bool = True) -> DataFrame:
@@ -151,6 +153,42 @@ class AnalogTables:
             )
         )
 
+    def varied_spans(self) -> DataFrame:
+        """Spans with both halves of the trace id and, on some, no start."""
+        return self.table("events").select(
+            (F.col("user_id") % 2).cast("bigint").alias("trace_id_high"),
+            F.col("user_id").alias("trace_id"),
+            F.col("event_id").alias("id"),
+            F.col("event_type").alias("name"),
+            F.lit(None).cast("bigint").alias("parent_id"),
+            F.when(F.col("event_id") % 13 != 0, micros_of_time(F.col("ts"))).alias("start_ts"),
+            F.floor(F.col("value") * 1000).cast("bigint").alias("duration"),
+            (F.col("event_id") % 3 == 0).alias("scanned"),
+        )
+
+    def varied_annotations(self) -> DataFrame:
+        """One to three annotations per event: tags and events, equal and missing times, ports above 32,767."""
+        key, i = F.col("event_id"), F.col("i")
+        time = micros_of_time(F.date_trunc("minute", "ts"))
+        return (
+            self.table("events")
+            .select("*", F.explode(F.sequence(F.lit(0), (key % 3).cast("int"))).alias("i"))
+            .select(
+                (F.col("user_id") % 2).cast("bigint").alias("trace_id_high"),
+                F.col("user_id").alias("trace_id"),
+                key.alias("span_id"),
+                F.element_at(F.array(F.lit("http"), F.lit("k"), F.lit("sr")), i + 1).alias("a_key"),
+                F.concat_ws("-", "event_type", i.cast("string")).alias("a_value"),
+                F.when(i == 2, -1).otherwise(6).alias("a_type"),
+                F.when(~((i == 1) & (key % 11 == 0)), time).alias("a_timestamp"),
+                (key % 1000).cast("int").alias("endpoint_ipv4"),
+                F.lit(None).cast("binary").alias("endpoint_ipv6"),
+                F.when(i == 0, -15536).otherwise(8080).alias("endpoint_port"),
+                F.concat(F.lit("svc-"), (key % 7).cast("string")).alias("endpoint_service_name"),
+                (key % 4 == 0).alias("scanned"),
+            )
+        )
+
     def users(self) -> DataFrame:
         return self.table("customer").select(
             F.col("c_name").alias("username"), (F.col("c_acctbal") >= 0).alias("enabled")

@@ -28,7 +28,8 @@ class JdbcSource:
             "lowerBound": lowest,
             "upperBound": highest,
             "numPartitions": partitions,
-            "properties": self.properties,
+            # Times without zone arrive as what they are, so no cast stands between a filter and the database.
+            "properties": {"preferTimestampNTZ": "true", **self.properties},
         }
 
 
@@ -40,7 +41,13 @@ def load_table(spark: SparkSession, name: str, source: str | JdbcSource) -> Data
     schema = struct_of(name)
     if isinstance(source, JdbcSource):
         stored = spark.read.jdbc(**source.options(name))
-        return stored.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+        kinds = dict(stored.dtypes)
+        return stored.select(
+            *[
+                F.col(f.name) if kinds.get(f.name) == f.dataType.simpleString() else F.col(f.name).cast(f.dataType)
+                for f in schema.fields
+            ]
+        )
     return spark.read.schema(schema).parquet(f"{source.rstrip('/')}/{name}")
 
 

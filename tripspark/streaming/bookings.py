@@ -2,24 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tripspark.operators.booking import book, booked_rows, last_key
+from tripspark.operators.booking import book, booked_rows, with_number
+from tripspark.operators.skew import lookup_join
 from tripspark.sinks.tables import replace_batch
 from tripspark.streaming.files import with_trigger
 
 
 def first_requests(requests: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Streamed requests (request_id, service, route_id, requested_at); an id sent again within `delay` is dropped."""
-    return requests.withWatermark("requested_at", delay).dropDuplicatesWithinWatermark(["request_id"])
+    """Streamed requests (request_id, service, route_id, requested_at); an id sent again within `delay` is dropped.
+
+    Requests without id or time cannot be told apart and all stay, as in the batch form.
+    """
+    whole = F.col("request_id").isNotNull() & F.col("requested_at").isNotNull()
+    once = (
+        requests.where(whole).withWatermark("requested_at", delay).dropDuplicatesWithinWatermark(["request_id"])
+    )
+    return once.unionByName(requests.where(~whole))
+
+
+def _asked_routes(asked: DataFrame, routes: DataFrame) -> DataFrame:
+    """Routes that a request of the batch names: the batch is small, so the routes are cut where they are read."""
+    keys = with_number(asked).select(F.col("service").alias("service_provider"), "route_id").distinct()
+    numbered = routes.withColumn("route_id", F.col("route_id").cast("bigint"))
+    return lookup_join(numbered, keys, ["service_provider", "route_id"], "left_semi", check_size=True)
+
+
+def _last_before(spark: SparkSession, out: str, batch_id: int) -> int:
+    """The last key of the batches before this one, kept in a row per batch."""
+    if batch_id == 0:
+        return 0
+    return spark.read.schema("last BIGINT").parquet(f"{out}/last/batch_id={batch_id - 1}").first()["last"]
 
 
 def write_booking_batch(
     requests: DataFrame, batch_id: int, routes: DataFrame, out: str, now: Column | None = None
 ) -> None:
-    """Results of one batch, then its booked rows.
+    """Results of one batch, then its booked rows, then its last key.
 
     Keys go on after those of earlier batches, so a batch run again writes the same keys in the same folders.
     """
@@ -27,15 +49,16 @@ def write_booking_batch(
     asked = requests.persist()
     try:
         # A batch that only moves the watermark has no requests; without rows Spark does not read the routes.
-        replace_batch(book(asked.limit(0) if asked.isEmpty() else asked, routes, now), f"{out}/results", batch_id)
+        own = asked.limit(0) if asked.isEmpty() else asked
+        replace_batch(book(own, _asked_routes(own, routes), now), f"{out}/results", batch_id)
     finally:
         asked.unpersist()
     results = spark.read.parquet(f"{out}/results/batch_id={batch_id}")
-    last = 0
-    if batch_id > 0:
-        booked = spark.read.schema("id BIGINT, batch_id INT").parquet(f"{out}/booked")
-        last = last_key(booked.where(F.col("batch_id") < batch_id))
-    replace_batch(booked_rows(results, last), f"{out}/booked", batch_id)
+    before = _last_before(spark, out, batch_id)
+    replace_batch(booked_rows(results, before), f"{out}/booked", batch_id)
+    booked = spark.read.schema("id BIGINT").parquet(f"{out}/booked/batch_id={batch_id}")
+    last = booked.agg(F.greatest(F.coalesce(F.max("id"), F.lit(before)), F.lit(before)).cast("long").alias("last"))
+    replace_batch(last, f"{out}/last", batch_id)
 
 
 def start_bookings(

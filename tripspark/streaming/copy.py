@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripspark.functions.times import time_of_micros
-from tripspark.operators.spans import ROW_COLUMNS, readable_annotations, to_points
+from tripspark.operators.spans import ROW_COLUMNS, readable_annotations, span_rows, to_points
+from tripspark.session import stage
 from tripspark.sinks.points import to_line_protocol
 from tripspark.sinks.tables import replace_batch
 from tripspark.streaming.files import with_trigger
@@ -15,20 +16,27 @@ from tripspark.vocabulary import SPAN_MEASUREMENT
 
 
 def join_streams(
-    spans: DataFrame, annotations: DataFrame, delay: str = "10 seconds", bound: str = "20 seconds", use_high: bool = False
+    spans: DataFrame,
+    annotations: DataFrame,
+    delay: str = "10 seconds",
+    bound: str = "20 seconds",
+    use_high: bool = False,
+    early: str = "1 second",
 ) -> DataFrame:
-    """Spans left joined with annotations from the span's start until `bound` later.
+    """Spans left joined with annotations from `early` before the span's start, as clocks differ, until `bound` after it.
 
-    Records may come up to `delay` late. A span without annotations comes out once no match can arrive any more.
+    Records may come up to `delay` late. A span without annotations comes out once no match can arrive any more. Spans
+    without start, and annotations that meet no span in time, don't come out here: `settle_copy` sends them.
     """
     left = (
-        spans.select("trace_id_high", "trace_id", "id", "parent_id", "name", "start_ts", "duration")
+        spans.where(F.col("start_ts").isNotNull())
+        .select("trace_id_high", "trace_id", "id", "parent_id", "name", "start_ts", "duration")
         .withColumn("span_time", time_of_micros(F.col("start_ts")))
         .withWatermark("span_time", delay)
         .alias("s")
     )
     right = (
-        readable_annotations(annotations)
+        readable_annotations(annotations.where(F.col("a_timestamp").isNotNull()))
         .withColumn("note_time", time_of_micros(F.col("a_timestamp")))
         .withWatermark("note_time", delay)
         .alias("a")
@@ -36,7 +44,7 @@ def join_streams(
     same = (F.col("s.trace_id") == F.col("a.trace_id")) & (F.col("s.id") == F.col("a.span_id"))
     if use_high:
         same = same & (F.col("s.trace_id_high") == F.col("a.trace_id_high"))
-    timely = F.expr(f"a.note_time BETWEEN s.span_time AND s.span_time + INTERVAL {bound}")
+    timely = F.expr(f"a.note_time BETWEEN s.span_time - INTERVAL {early} AND s.span_time + INTERVAL {bound}")
     joined = left.join(right, same & timely, "leftOuter")
     columns = {
         c: F.col(f"s.{c}") for c in ("trace_id", "parent_id", "name", "start_ts", "duration")
@@ -64,8 +72,36 @@ def start_copy(
     delay: str = "10 seconds",
     bound: str = "20 seconds",
     use_high: bool = False,
+    early: str = "1 second",
 ) -> StreamingQuery:
     """Copy span rows to points. The checkpoint records what was read, so no rows are marked."""
-    writer = join_streams(spans, annotations, delay, bound, use_high).writeStream.option("checkpointLocation", checkpoint)
+    writer = join_streams(spans, annotations, delay, bound, use_high, early).writeStream.option("checkpointLocation", checkpoint)
     writer = writer.outputMode("append").foreachBatch(lambda rows, batch_id: write_copy_batch(rows, batch_id, out))
     return with_trigger(writer, trigger).start()
+
+
+SETTLED = -1  # the batch of the points that the stream could not join
+
+
+def settle_copy(spans: DataFrame, annotations: DataFrame, out: str, use_high: bool = False) -> None:
+    """Send what the stream left out, from the stored rows: spans without start, early and late annotations.
+
+    Writes the points that the batch copy would send and the stream has not; a call again replaces them. With them
+    `read_points` gives the points of the batch copy.
+    """
+    spark = spans.sparkSession
+    wanted = to_points(span_rows(spans, annotations, use_high=use_high))
+    sent = spark.read.schema(wanted.schema).parquet(f"{out}/points/batch_id=[0-9]*")
+    missing = stage(wanted.exceptAll(sent), "settled-points")
+    replace_batch(missing, f"{out}/points", SETTLED)
+    to_line_protocol(missing, SPAN_MEASUREMENT).write.mode("overwrite").text(f"{out}/lines/batch_id={SETTLED}")
+
+
+def read_points(spark: SparkSession, out: str) -> DataFrame:
+    """Points of all batches; a span that was sent alone and got annotations when settled counts with those only."""
+    points = spark.read.parquet(f"{out}/points")
+    settled = points.where(F.col("batch_id") == SETTLED).select("trace_id", "span_id", "time_us").where("time_us IS NOT NULL")
+    of = settled.select("trace_id", "span_id").distinct().withColumn("_settled", F.lit(True))
+    alone = (F.col("a_key") == "") & (F.col("endpoint_service_name") == "") & (F.col("batch_id") != SETTLED)
+    marked = points.join(of, ["trace_id", "span_id"], "left")
+    return marked.where(~(alone & F.col("_settled").isNotNull())).select(*points.columns).drop("batch_id")
