@@ -65,12 +65,15 @@ def test_personal_data(spark, documents):
 
 
 def test_quality_on_held_out_labels(spark):
-    rows = QUERIES["op2_compression_quality"](spark, DATA.replace("sf0.001", "sf0.01"))
-    labels = spark.read.parquet(DATA.replace("sf0.001", "sf0.01") + "/labels.parquet")
+    """On the largest table: smaller ones hold out only a handful of bad texts."""
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    rows = QUERIES["op2_compression_quality"](spark, folder)
     known = rows.where("held_out").join(labels, "doc_id").select("score", "quality", "predicted").collect()
-    assert len(known) > 50
     good = [r["score"] for r in known if r["quality"] == 1]
     bad = [r["score"] for r in known if r["quality"] == 0]
+    assert len(good) > 500 and len(bad) > 80
     wins = sum((g > b) + 0.5 * (g == b) for g in good for b in bad) / (len(good) * len(bad))
     assert wins > 0.97
-    assert sum(r["predicted"] == r["quality"] for r in known) / len(known) > 0.95
+    assert sum(r["predicted"] == r["quality"] for r in known) / len(known) > 0.93
+    assert sum(r["predicted"] for r in known if r["quality"] == 1) / len(good) > 0.99

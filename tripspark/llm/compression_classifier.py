@@ -1,6 +1,6 @@
 """Quality by compression: two zstandard dictionaries, one trained on good and one on bad labelled text.
 
-A text is compressed with each. The difference of the two sizes over their sum says which text it resembles; a logistic
+A text is compressed with each. The difference of the two sizes per byte says which text it resembles; a logistic
 curve, fitted on labelled texts that trained no dictionary, turns that into a probability of label 1.
 
 The fit reads a bounded sample: at most `SAMPLE` labelled rows of each class, the same for any partitioning (lowest hash
@@ -33,7 +33,8 @@ HELD_OUT = 0
 CALIBRATION = 4  # this fold fits the curve, the others the dictionaries
 SAMPLE = 4_000
 FIT_CHARS = 50_000
-DICTIONARY = 64 << 10
+DICTIONARY = 110 << 10  # bytes, or a quarter of the smaller class where that is less
+PIECE = 4_000  # bytes; training works on many short samples, not on few long ones
 LEVEL = 3
 THRESHOLD = 0.3
 
@@ -69,7 +70,7 @@ class CompressionModel:
         found = []
         for text in texts:
             a, b = len(good.compress(text)), len(bad.compress(text))
-            found.append((b - a) / (a + b) if text else 0.0)
+            found.append((b - a) / len(text) if text else 0.0)
         return found
 
     def probability(self, difference: float) -> float:
@@ -78,9 +79,10 @@ class CompressionModel:
 
 
 def _dictionary(samples: list[bytes], size: int) -> bytes:
-    """A trained dictionary, or the samples themselves where there are too few to train one."""
+    """A dictionary trained on pieces of the samples, or the samples themselves where there are too few to train one."""
+    pieces = [s[i : i + PIECE] for s in samples for i in range(0, len(s), PIECE)]
     try:
-        return zstandard.train_dictionary(size, samples, level=LEVEL).as_bytes()
+        return zstandard.train_dictionary(size, pieces, level=LEVEL).as_bytes()
     except zstandard.ZstdError:
         return b"".join(samples)[-size:]
 
@@ -94,10 +96,9 @@ def fitted(rows: list[tuple[bytes, int, bool]], size: int = DICTIONARY) -> Compr
     teach = [r for r in rows if not r[2]]
     if len({y for _, y, _ in teach}) < 2:
         teach = rows
-    model = CompressionModel(
-        _dictionary([t for t, y, _ in teach if y == 1 and t], size),
-        _dictionary([t for t, y, _ in teach if y != 1 and t], size),
-    )
+    good, bad = [t for t, y, _ in teach if y == 1 and t], [t for t, y, _ in teach if y != 1 and t]
+    size = min(size, max(1024, min(sum(map(len, good)), sum(map(len, bad))) // 4))
+    model = CompressionModel(_dictionary(good, size), _dictionary(bad, size))
     curve = [r for r in rows if r[2]]
     if len({y for _, y, _ in curve}) < 2:
         curve = rows
