@@ -37,7 +37,7 @@ from tripspark.llm.text_blocks import Words, blocks, grams, word_counts, words_o
 
 ORDER = 3
 BACKOFF = 0.4
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 12 << 20
 
 
 def _all_words(texts: pa.ChunkedArray) -> Words:
