@@ -12,7 +12,7 @@ from tests.conftest import DATA
 from tests.llm import brute
 from tripspark.llm.queries import QUERIES, SQL
 
-TABLES = ("documents", "benchmark", "labels", "conversations")
+TABLES = ("documents", "benchmark", "labels", "conversations", "embeddings")
 
 
 @pytest.fixture(scope="module")
@@ -29,8 +29,10 @@ def documents(spark):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
-    assert set(QUERIES) - set(SQL) == {"op2_compression_quality", "op3_license_scan", "op4_personal_data"}
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
+    assert set(QUERIES) - set(SQL) == {
+        "op2_compression_quality", "op3_license_scan", "op4_personal_data", "op12_simhash_links", "op13_periodic_runs",
+    }
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

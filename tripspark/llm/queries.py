@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from functools import wraps
 
@@ -16,13 +17,17 @@ from tripspark.llm import (
     license_scan,
     mixture,
     near_duplicates,
+    periodic_runs,
     personal_data,
     quality_rules,
     repeated_spans,
+    simhash_links,
+    vector_codes,
 )
-from tripspark.llm.frames import named, table
+from tripspark.llm.frames import table, words_of
 from tripspark.llm.shipping import ship
 from tripspark.llm.sql import SQL
+from tripspark.operators.skew import lookup_join
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -162,3 +167,58 @@ def op1_backoff_scores(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_repeated_spans(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_spans.spans(table(spark, folder, "documents")).drop("text_hash", "spans")
+
+
+@query
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    found, books = vector_codes.coded(table(spark, folder, "embeddings"))
+    told = ",".join(map(str, books.ravel().tolist()))
+    keyed = found.withColumn("_key", F.struct("label"))  # structs with null fields are equal
+    totals = keyed.groupBy("_key").agg(F.sum("error").alias("label_error"))
+    digits = F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0"))
+    return lookup_join(keyed, totals, ["_key"], check_size=True).select(
+        F.col("id").alias("vec_id"),
+        F.array_join(digits, "").alias("code"),
+        "error",
+        "label_error",
+        F.lit(hashlib.sha256(told.encode()).hexdigest()).alias("codebooks_sha256"),
+    )
+
+
+@query
+def op12_simhash_links(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash_links.grouped(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """Documents (doc_id, text) of which about a tenth, by the id's checksum, repeat a stretch of their own words to the end."""
+    checksum, words, g, a, p = F.crc32(F.col("doc_id").cast("string")), *map(F.col, ("_words", "_g", "_a", "_p"))
+    chosen = docs.select(
+        "doc_id", "text", F.when(checksum % 10 == 0, words_of(F.col("text"))).alias("_words"), F.floor(checksum / 10).alias("_g")
+    )
+    n = F.size(words)
+    placed = chosen.withColumn("_a", F.when(n > 0, (g % n).cast("int")))
+    placed = placed.withColumn("_p", F.lit(1) + F.floor((n - a) / (3 + g % 8)).cast("int"))
+    tail = F.slice(F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int"))), F.lit(1), n - a)
+    told = F.array_join(F.concat(F.slice(words, F.lit(1), a), tail), " ")
+    return placed.select("doc_id", F.when(a.isNotNull(), told).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.with_runs(with_periods(table(spark, folder, "documents")))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"], r["period"])))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    read = found.withColumn("longest", longest)
+    length, period = -F.col("longest.l"), F.col("longest.period")
+    return read.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("longest.start").alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

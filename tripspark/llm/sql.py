@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripspark.llm import chat_format, mixture, quality_rules
+from tripspark.llm import chat_format, mixture, quality_rules, vector_codes
 
 SQL: dict[str, str] = {}
 
@@ -225,3 +225,49 @@ SELECT doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGI
        sha256(unhex(coalesce(kept, '') || substr(x, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
 FROM d LEFT JOIN t ON d.r = t.r
 """
+
+
+def _vector_codes(parts: int = vector_codes.PARTS, entries: int = vector_codes.ENTRIES, rounds: int = vector_codes.ROUNDS) -> str:
+    """Plain Lloyd rounds, each a pair of tables: codes of all parts, and the moved entries."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(
+            f"""a{r} AS (
+  SELECT row, part, min(struct_pack(d := d, e := entry)) AS best FROM (
+    SELECT p.row, p.part, c.entry, list_sum(list_transform(list_zip(p.v, c.v), lambda x: (x[1] - x[2]) * (x[1] - x[2])))::BIGINT AS d
+    FROM p JOIN c{r} c ON p.part = c.part) GROUP BY row, part
+)"""
+        )
+        if r < rounds:
+            steps.append(
+                f"""c{r + 1} AS (
+  SELECT c.part, c.entry, coalesce(m.v, c.v) AS v FROM c{r} c LEFT JOIN (
+    SELECT part, entry, list(mean ORDER BY place) AS v FROM (
+      SELECT part, entry, place, ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS mean
+      FROM (SELECT p.part, a.best.e AS entry, unnest(range(1, len(p.v) + 1)) AS place, unnest(p.v) AS x
+            FROM p JOIN a{r} a ON p.row = a.row AND p.part = a.part)
+      GROUP BY part, entry, place) GROUP BY part, entry) m ON c.part = m.part AND c.entry = m.entry
+)"""
+            )
+    chain = ", ".join(steps)
+    return f"""
+WITH k AS (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS row, vec_id, label,
+         list_transform(embedding, lambda x: floor({vector_codes.SCALE} * x::DOUBLE)::BIGINT) AS v, len(embedding) // {parts} AS width
+  FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), FALSE))) = len(embedding)
+), p AS (
+  SELECT row, part, v[part * width + 1:(part + 1) * width] AS v FROM k, range({parts}) r(part)
+), c0 AS (
+  SELECT part, row - 1 AS entry, v FROM p WHERE row <= {entries}
+), {chain}, e AS (
+  SELECT row, string_agg(format('{{:02x}}', best.e), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error FROM a{rounds} GROUP BY row
+), s AS (
+  SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c{rounds}
+)
+SELECT k.vec_id, e.code, e.error, (sum(e.error) OVER (PARTITION BY k.label))::BIGINT AS label_error, s.codebooks_sha256
+FROM k JOIN e ON k.row = e.row, s
+"""
+
+
+SQL["op11_vector_codes"] = _vector_codes()
