@@ -21,6 +21,7 @@ from tripspark.llm import (
     quality_rules,
     repeated_spans,
 )
+from tripspark.llm.queries import QUERIES
 
 BENCHMARK = [(1, "a few words in it so that it has"), (2, "one two three"), (None, None), (3, "")]
 
@@ -196,6 +197,24 @@ def test_decontamination(odd, empty, benchmark):
     assert {r["text"] for r in cut.where("doc_id = 5").collect()} == {"same text here with  shingles"}
 
 
+def test_decontamination_query_with_clashing_columns(spark, odd, benchmark, tmp_path):
+    clashing = odd.withColumns({c: F.lit(1) for c in ("mark", "m0", "row", "new", "x")})
+    clashing.write.parquet(f"{tmp_path}/documents.parquet")
+    benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = QUERIES["op9_decontamination"](spark, str(tmp_path))
+    assert found.count() == len(ODD_ROWS) and found.where("contaminated").count() > 0
+    replaced = decontamination.marked(clashing, benchmark, into="mark")
+    assert replaced.columns == [c for c in clashing.columns if c != "mark"] + ["mark"]
+    assert replaced.select("mark.n_words").count() == len(ODD_ROWS)
+
+
+def test_chat_loss_follows_the_flags(spark):
+    """The digest comes from the segments under the mask, not from the roles."""
+    rows = spark.createDataFrame(CHAT, "conv_id long, turn long, role string, text string")
+    made = chat_format.formatted(rows).withColumn("loss", chat_format.loss_text(F.col("segments"))).collect()
+    assert {r["conv_id"]: r["loss"] for r in made} == {1: "yo\n<|im_end|>\n", 2: "", None: "", 3: "", 4: "a"}
+
+
 def test_blocks_of_benchmark_items_give_the_same(odd, benchmark):
     one = decontamination.marked(odd, benchmark, into="m2").select("doc_id", "m2").collect()
     many = decontamination.marked(odd, benchmark, into="m2", max_windows=8).select("doc_id", "m2").collect()

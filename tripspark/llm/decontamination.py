@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripspark.llm.frames import named
+from tripspark.llm.frames import named, stored
 from tripspark.llm.text_blocks import SMALL_TABLE, Words, blocks, grams, lists, whole_grams, words_of
 
 LENGTH = 10
@@ -147,7 +147,11 @@ def marked(
     length: int = LENGTH,
     max_windows: int = MAX_WINDOWS,
 ) -> DataFrame:
-    """All columns of `df` and the struct `into`: n_words, runs of hit words (word places and bytes), items."""
+    """All columns of `df` and the struct `into`: n_words, runs of hit words (word places and bytes), items.
+
+    A column named `into` is replaced. Above `max_windows` the items are dealt into blocks, which are searched one after
+    the other over stored rows: driver and workers hold one block at a time.
+    """
     spark = df.sparkSession
     tests = benchmark.select(
         F.coalesce(named(item).cast("string"), F.lit("")).alias("id"), F.coalesce(named(item_text), F.lit("")).alias("x")
@@ -155,14 +159,17 @@ def marked(
     # A text has no more windows than half its characters.
     size = tests.agg(F.coalesce(F.sum(F.length("x")), F.lit(0)).alias("n")).first()["n"]
     parts = max(1, -(-(size // 2) // max_windows))
-    marks = []
+    made = df.select(F.struct("*").alias("row"), named(text).alias("x"))
     for part in range(parts):
         own = tests.where(F.pmod(F.xxhash64("id", "x"), F.lit(parts)) == part).collect()
         sent = spark.sparkContext.broadcast(item_windows([r["x"] for r in own], [r["id"] for r in own], length))
-        marks.append(_marker(sent)(named(text)))
-    names = [f"m{i}" for i in range(parts)]
-    made = df.select(F.struct("*").alias("row"), *[m.alias(n) for m, n in zip(marks, names)])
-    return made.select("row.*", _united([F.col(n) for n in names]).alias(into))
+        made = made.withColumn("new", _marker(sent)(F.col("x")))
+        made = made.select("row", "x", (_united([F.col("mark"), F.col("new")]) if part else F.col("new")).alias("mark"))
+        if parts > 1:
+            made = stored(made, "marked")
+            sent.destroy()
+    kept = [F.col("row").getField(c).alias(c) for c in df.columns if c != into]
+    return made.select(*kept, F.col("mark").alias(into))
 
 
 def _marker(sent):

@@ -119,8 +119,7 @@ def op7_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     turns = F.col("turns")
     read = made.withColumn("turns", chat_format.parsed(F.col("formatted")))
     told = F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    loss = F.filter(turns, lambda t: t["role"].isin(*chat_format.CHATML.loss_roles))
-    return read.withColumn("loss", F.array_join(F.transform(loss, lambda t: t["text"]), "")).select(
+    return read.withColumn("loss", chat_format.loss_text(F.col("segments"))).select(
         "conv_id",
         F.size(turns).cast("long").alias("n_turns"),
         F.sha2(F.array_join(told, ""), 256).alias("turns_sha256"),

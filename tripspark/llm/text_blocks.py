@@ -48,8 +48,8 @@ _POWERS: dict[str, np.ndarray] = {}
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS.get("up", ())) < n:
-        size = max(n, 2 * BLOCK_BYTES)
+    if len(_POWERS.get("up", ())) <= n:  # also for blocks without any byte
+        size = max(n + 1, 2 * BLOCK_BYTES)
         for name, base in (("up", _ODD), ("down", _ODD_INVERSE)):
             row = np.full(size, base, dtype=np.uint64)
             row[0] = 1
