@@ -179,7 +179,7 @@ def test_point_counts(spark):
 
 def test_days_outside_the_range_are_not_read(spark, spans, tmp_path):
     path = str(tmp_path / "by_day")
-    write_by_day(spans.where("start_ts IS NOT NULL"), path)
+    write_by_day(spans.where("start_ts IS NOT NULL"), path, batch_id=0)
     stored = spark.read.parquet(path)
     assert stored.count() == 5 and {str(r[0]) for r in stored.select("day").distinct().collect()} == {"1970-01-01", "1970-01-02"}
     late = day_range(stored, DAY, DAY + 10)
@@ -194,7 +194,7 @@ def test_days_outside_the_range_are_not_read(spark, spans, tmp_path):
 def test_expired_days_are_dropped(spark, spans, tmp_path):
     spark.sql(f"CREATE DATABASE traces LOCATION '{tmp_path}/traces'")
     for _ in range(2):
-        write_day_table(spans, "traces.spans")
+        write_day_table(spans, "traces.spans", batch_id=0)
     assert spark.table("traces.spans").count() == spans.count()
     assert expire_days(spark, "traces.spans", date(1970, 1, 2)) == [NO_DAY, date(1970, 1, 1)]
     assert [r["id"] for r in spark.table("traces.spans").collect()] == [4]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -77,3 +78,65 @@ def count_violations(violations: DataFrame, rule: str) -> DataFrame:
 
 def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
+
+
+# All rules in one pass
+
+
+@dataclass
+class TableRules:
+    """What is checked on one table: keys that must be unique, references, keys that others refer to, and row rules.
+
+    Keys are lists of columns or expressions; `parents` names the references of other tables.
+    """
+
+    rows: DataFrame
+    keys: dict[str, list[Column | str]] = field(default_factory=dict)
+    children: dict[str, list[Column | str]] = field(default_factory=dict)
+    parents: dict[str, list[Column | str]] = field(default_factory=dict)
+    broken: dict[str, Column] = field(default_factory=dict)
+
+
+def _key_text(key: list[Column | str]) -> Column:
+    """Different texts for different keys, NULL where a part is missing."""
+    parts = [(F.col(k) if isinstance(k, str) else k).cast("string") for k in key]
+    return F.concat(*[F.concat(F.length(p).cast("string"), F.lit(":"), p) for p in parts]) if len(parts) > 1 else parts[0]
+
+
+def _entries(table: TableRules) -> DataFrame:
+    """Rows (rule, key, n, known): each row of the table once for each rule that it matters for."""
+
+    def entry(rule: str, key: Column, n: int, known: bool) -> Column:
+        told = F.struct(
+            F.lit(rule).alias("rule"), key.alias("key"), F.lit(n).cast("bigint").alias("n"), F.lit(known).alias("known")
+        )
+        return F.when(key.isNotNull(), told)
+
+    told = [
+        *[entry(rule, _key_text(key), 1, False) for rule, key in (table.keys | table.children).items()],
+        *[entry(rule, _key_text(key), 0, True) for rule, key in table.parents.items()],
+        *[entry(rule, F.when(broken, F.lit("")), 1, False) for rule, broken in table.broken.items()],
+    ]
+    return table.rows.select(F.explode(F.array_compact(F.array(*told))).alias("e")).select("e.*")
+
+
+def violations(tables: list[TableRules]) -> DataFrame:
+    """Violations per rule, also where there are none: keys held by several rows, rows without parent, rows that break a rule.
+
+    Every table is read once. What matters for keys and references meets in one shuffle by rule and key, summed up per task
+    before, so a key that very many rows have is no hot key. NULL parts make a key or reference pass.
+    """
+    spark = tables[0].rows.sparkSession
+    unique = [rule for t in tables for rule in t.keys]
+    rules = [rule for t in tables for rule in (*t.keys, *t.children, *t.broken)]
+    met = (
+        reduce(DataFrame.unionByName, [_entries(t) for t in tables])
+        .groupBy("rule", "key")
+        .agg(F.sum("n").alias("n"), F.max("known").alias("known"))
+    )
+    count = F.when(F.col("rule").isin(unique), (F.col("n") > 1).cast("bigint")).otherwise(
+        F.when(F.col("known"), F.lit(0)).otherwise(F.col("n"))
+    )
+    none = spark.createDataFrame([(rule, 0) for rule in rules], "rule string, violations long")
+    found = met.select("rule", count.alias("violations"))
+    return found.unionByName(none).groupBy("rule").agg(F.sum("violations").alias("violations"))

@@ -16,6 +16,7 @@ from pyspark.sql.types import DataType, IntegralType
 HOT_PARTITIONS = 2.0  # a key is heavy when it has more rows than this many average partitions ...
 HOT_ROWS = 1_000_000  # ... and at least this many
 SMALL_ROWS = 100_000  # tables up to this size may be broadcast
+MOST_LISTED = 65_536  # keys that a summary lists: the function that makes them follows at most a million, eight for each
 
 HotKeys = dict[int, float]  # hash of a heavy key -> share of the rows
 
@@ -56,7 +57,8 @@ def hot_keys(df: DataFrame, keys: list[str]) -> HotKeys:
     hashes = df.select(key_hash(df, keys).alias("hash"))
     known = (df.sparkSession.sparkContext.applicationId, hashes.semanticHash(), partitions, HOT_ROWS, HOT_PARTITIONS)
     if known not in _FOUND:
-        share = min(0.25, HOT_PARTITIONS / partitions)
+        # With very many partitions a key has to be somewhat larger than two of them to be found.
+        share = min(0.25, max(HOT_PARTITIONS / partitions, 2 / MOST_LISTED))
         groups = _summaries(hashes, partitions, math.ceil(2 / share)).persist()
         try:
             total = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]

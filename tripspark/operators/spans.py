@@ -47,12 +47,12 @@ def readable_annotations(annotations: DataFrame) -> DataFrame:
 
 
 def span_rows(
-    spans: DataFrame, annotations: DataFrame, parity: bool = False, use_high: bool = False
+    spans: DataFrame, annotations: DataFrame, parity: bool = False, use_high: bool = False, own_id: str | None = None
 ) -> DataFrame:
     """Uncopied spans left joined with their annotations.
 
     Spans without annotations stay. Their `span_id` is the span's own id, or NULL with `parity`. The join
-    ignores the high half of the trace id unless `use_high` is set.
+    ignores the high half of the trace id unless `use_high` is set. `own_id` names a further column for the span's own id.
     """
     keys = [*(["trace_id_high"] if use_high else []), "trace_id", "id"]
     left = unscanned(spans).select(*keys, "parent_id", "name", "start_ts", "duration")
@@ -62,7 +62,7 @@ def span_rows(
     joined = fanout_left_join(left, right, keys)
     if not parity:
         joined = joined.withColumn("span_id", F.coalesce("span_id", "id"))
-    return joined.select(*ROW_COLUMNS)
+    return joined.select(*ROW_COLUMNS, *([F.col("id").alias(own_id)] if own_id else []))
 
 
 def _point_fields(rows: DataFrame, names: list[str]) -> list[Column]:
@@ -71,8 +71,8 @@ def _point_fields(rows: DataFrame, names: list[str]) -> list[Column]:
     ]
 
 
-def to_points(rows: DataFrame, parity: bool = False) -> DataFrame:
-    """Points from joined span rows: `time`, fields without NULLs, and the counter `a_number`.
+def to_points(rows: DataFrame, parity: bool = False, more: tuple[str, ...] = ()) -> DataFrame:
+    """Points from joined span rows: `time`, fields without NULLs, the counter `a_number`, and columns in `more` as they are.
 
     A row without `a_timestamp` takes the span's start and is left out when that is missing too; with
     `parity` it takes the epoch.
@@ -87,6 +87,7 @@ def to_points(rows: DataFrame, parity: bool = False) -> DataFrame:
             time_of_micros(F.col("time_us")).cast("timestamp_ntz").alias("time"),
             *_point_fields(rows, fields),
             F.lit(1).alias("a_number"),
+            *more,
         )
     )
 

@@ -13,9 +13,10 @@ from tripspark.functions.text import booking_link
 from tripspark.functions.times import day_of_time, time_text
 from tripspark.operators.cities import city_pair_distance
 from tripspark.operators.lists import PAGE_SIZE, page_of
-from tripspark.operators.routes import PAIR, numbered_routes, route_item, with_rank
+from tripspark.operators.routes import PAIR, numbered_routes, provider_rank, route_item, with_rank
 from tripspark.operators.skew import lookup_join
 from tripspark.session import stage
+from tripspark.sources.pairroutes import PairRoutes
 
 
 def asked_pairs(requests: DataFrame, cities: DataFrame) -> DataFrame:
@@ -24,16 +25,22 @@ def asked_pairs(requests: DataFrame, cities: DataFrame) -> DataFrame:
     return stage(city_pair_distance(pairs, cities), "asked-pairs")
 
 
-def answer_routes(pairs: DataFrame, routes: DataFrame) -> DataFrame:
+def answer_routes(pairs: DataFrame, routes: DataFrame | PairRoutes) -> DataFrame:
     """Routes of the pairs that have status 'ok', numbered from 0 within the pair, with the pair's columns.
 
     Numbering reads its rows twice, so the routes that someone asks for are stored first.
     """
     valid = pairs.where(F.col("status") == "ok")
-    return numbered_routes(stage(lookup_join(with_rank(routes), valid, PAIR, "inner", check_size=True), "asked-routes"))
+    if isinstance(routes, PairRoutes):
+        met = routes.of_pairs(valid).withColumn("provider_rank", provider_rank(F.col("service_provider")))
+    else:
+        met = lookup_join(with_rank(routes), valid, PAIR, "inner", check_size=True)
+    return numbered_routes(stage(met, "asked-routes"))
 
 
-def trip_search(requests: DataFrame, cities: DataFrame, routes: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+def trip_search(
+    requests: DataFrame, cities: DataFrame, routes: DataFrame | PairRoutes, page_size: int = PAGE_SIZE
+) -> DataFrame:
     """Answers: one row per asked pair and page of its route list.
 
     Columns: origin, destination, requests (how many ask for the pair), status, distance, page, routes. Every pair has

@@ -8,12 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripspark.operators import booking, integrity
+from tripspark.operators.integrity import TableRules
 from tripspark.operators.spans import SPAN_KEY
 from tripspark.operators.tracestore import ANNOTATION_KEY
-from tripspark.queries.bookings import FIXED_TIME
 from tripspark.queries.registry import query
 from tripspark.schemas import LENGTHS, VALUE_BYTES
-from tripspark.session import stage
 from tripspark.sources.analog import AnalogTables
 from tripspark.vocabulary import PROVIDERS
 
@@ -78,13 +77,9 @@ UNION ALL SELECT 'annotations value size', COUNT(*) FILTER (strlen(a_value) >= 6
 UNION ALL SELECT 'annotations length', COUNT(*) FILTER (length(a_key) > 255 OR length(endpoint_service_name) > 255)
   FROM v_annotations""")
 def integrity_report(t: AnalogTables) -> DataFrame:
-    """Violations per rule. Row rules of a table are counted in one pass."""
-    cities, users, roles, requests = t.cities(), t.users(), t.user_roles(), t.trip_requests()
-    routes = t.stored_routes()
-    spans, annotations = t.spans(parents=False), t.annotations()
+    """Violations per rule, with one pass over each table and one shuffle."""
     # As if every request of a known provider had been booked, so that some have no route.
-    known = t.booking_requests().where(booking.known_provider(F.col("service")))
-    booked = known.select(booking.stored_name(F.col("service")).alias("service_provider"), "route_id")
+    booked = F.when(booking.known_provider(F.col("service")), booking.stored_name(F.col("service")))
 
     def null(*columns: str):
         return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
@@ -92,41 +87,46 @@ def integrity_report(t: AnalogTables) -> DataFrame:
     def long(table: str):
         return reduce(lambda a, b: a | b, [F.length(c) > n for c, n in LENGTHS[table].items()])
 
-    keys = [
-        ("cities key", cities, ["city_id"]),
-        ("routes key", routes, ["service_provider", "route_id"]),
-        ("users key", users, ["username"]),
-        ("user_roles key", roles, ["role", "username"]),
-        ("spans key", spans, SPAN_KEY),
-        ("annotations key", annotations, ANNOTATION_KEY),
-    ]
-    references = [
-        ("routes.origin -> cities", routes, "origin", cities, "city_id"),
-        ("routes.destination -> cities", routes, "destination", cities, "city_id"),
-        ("trip_requests.destination -> cities", requests, "destination", cities, "city_id"),
-        ("user_roles -> users", roles, "username", users, "username"),
-    ]
-    row_rules = [
-        (cities, {"cities length": long("cities")}),
-        (routes, {"routes not null": null("route_id"), "routes length": long("routes")}),
-        (t.booking_requests(), {"booking_requests.service": ~F.col("service").isin(*PROVIDERS)}),
-        (spans, {"spans not null": null("trace_id", "id", "name"), "spans length": long("spans")}),
-        (
-            annotations,
-            {
-                "annotations not null": null("trace_id", "span_id", "a_key"),
-                "annotations value size": F.octet_length("a_value") >= VALUE_BYTES,
-                "annotations length": long("annotations"),
-            },
-        ),
-    ]
-    reports = [
-        *[integrity.count_violations(integrity.duplicate_keys(df, key), rule) for rule, df, key in keys],
-        *[
-            integrity.count_violations(integrity.check_foreign_key(child, c, parent, p, rule), rule)
-            for rule, child, c, parent, p in references
-        ],
-        integrity.count_violations(integrity.check_booking_orphans(booked, routes, ""), "booked -> routes"),
-        *[integrity.count_broken(df, rules) for df, rules in row_rules],
-    ]
-    return reduce(DataFrame.unionByName, reports)
+    return integrity.violations(
+        [
+            TableRules(
+                t.cities(),
+                keys={"cities key": ["city_id"]},
+                parents={
+                    "routes.origin -> cities": ["city_id"],
+                    "routes.destination -> cities": ["city_id"],
+                    "trip_requests.destination -> cities": ["city_id"],
+                },
+                broken={"cities length": long("cities")},
+            ),
+            TableRules(
+                t.routes(),
+                keys={"routes key": ["service_provider", "route_id"]},
+                children={"routes.origin -> cities": ["origin"], "routes.destination -> cities": ["destination"]},
+                parents={"booked -> routes": [booking.stored_name(F.col("service_provider")), "route_id"]},
+                broken={"routes not null": null("route_id"), "routes length": long("routes")},
+            ),
+            TableRules(t.trip_requests(), children={"trip_requests.destination -> cities": ["destination"]}),
+            TableRules(
+                t.booking_requests(),
+                children={"booked -> routes": [booked, "route_id"]},
+                broken={"booking_requests.service": ~F.col("service").isin(*PROVIDERS)},
+            ),
+            TableRules(t.users(), keys={"users key": ["username"]}, parents={"user_roles -> users": ["username"]}),
+            TableRules(t.user_roles(), keys={"user_roles key": ["role", "username"]}, children={"user_roles -> users": ["username"]}),
+            TableRules(
+                t.spans(parents=False),
+                keys={"spans key": SPAN_KEY},
+                broken={"spans not null": null("trace_id", "id", "name"), "spans length": long("spans")},
+            ),
+            TableRules(
+                t.annotations(),
+                keys={"annotations key": ANNOTATION_KEY},
+                broken={
+                    "annotations not null": null("trace_id", "span_id", "a_key"),
+                    "annotations value size": F.octet_length("a_value") >= VALUE_BYTES,
+                    "annotations length": long("annotations"),
+                },
+            ),
+        ]
+    )

@@ -103,15 +103,17 @@ def booking_job(t: AnalogTables) -> DataFrame:
     return read_bookings(t.spark, path)
 
 
-LINES = """
+def lines_of(points: str) -> str:
+    """SQL for the text lines of span points."""
+    return f"""
 SELECT 'zipkin_spans trace_id=' || trace_id || 'i,span_id=' || span_id || 'i,parent_id=' || parent_id || 'i,name="' || name
   || '",endpoint_service_name="' || endpoint_service_name || '",endpoint_port=' || endpoint_port || 'i,a_key="' || a_key
   || '",a_value="' || a_value || '",a_type=' || a_type || 'i,endpoint_ipv4=' || endpoint_ipv4 || 'i,endpoint_ipv6="'
   || endpoint_ipv6 || '",start_ts=' || start_ts || 'i,duration=' || duration || 'i,a_number=1i ' || time_us * 1000 AS value
-FROM v_varied_points"""
+FROM {points}"""
 
 
-@query(LINES)
+@query(lines_of("v_varied_points"))
 def span_copy_job(t: AnalogTables) -> DataFrame:
     """Copies spans twice; the second run finds all of them in the ledger."""
     points, ledger = fresh_path(t.spark, "span-lines"), fresh_path(t.spark, "span-ledger")

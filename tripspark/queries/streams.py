@@ -9,6 +9,7 @@ from tripspark.functions.times import time_of_micros
 from tripspark.operators import spans, tracestore
 from tripspark.queries.bookings import FIXED_TIME
 from tripspark.queries.registry import query
+from tripspark.queries.stored import both_stores
 from tripspark.session import fresh_path, stage, use_disk_state
 from tripspark.sources.analog import AnalogTables
 from tripspark.streaming import bookings, copy, traces
@@ -55,12 +56,14 @@ def _collected(t: AnalogTables, stream: DataFrame, name: str) -> DataFrame:
 
 @query("SELECT * FROM v_points")
 def stream_span_points(t: AnalogTables) -> DataFrame:
-    """Uncopied spans and their annotations arrive as two streams."""
+    """Uncopied spans and their annotations arrive as two streams; what those leave out is settled, and nothing twice."""
     out, checkpoint = _paths(t, "stream-points")
-    started = _as_stream(spans.unscanned(t.spans()), "spans-in", "start_ts", end_mark=True)
-    noted = _as_stream(t.annotations(), "annotations-in", "a_timestamp", end_mark=True)
-    copy.start_copy(started, noted, out, checkpoint, UNTIL_DONE).awaitTermination()
-    copy.settle_copy(spans.unscanned(t.spans()), t.annotations(), out)
+    rows, noted = both_stores(t)
+    started = _as_stream(spans.unscanned(rows.rows()), "spans-in", "start_ts", end_mark=True)
+    notes = _as_stream(noted.rows(), "annotations-in", "a_timestamp", end_mark=True)
+    copy.start_copy(started, notes, out, checkpoint, UNTIL_DONE).awaitTermination()
+    for _ in range(2):
+        copy.settle_copy(rows, noted, out)
     return copy.read_points(t.spark, out)
 
 
@@ -95,7 +98,11 @@ def stream_point_counts(t: AnalogTables) -> DataFrame:
 
 @query("SELECT day, parent, child, COUNT(*) AS call_count FROM v_links GROUP BY day, parent, child")
 def stream_dependency_links(t: AnalogTables) -> DataFrame:
+    """Children within an hour are counted by the stream, all others when the days are settled."""
     out, checkpoint = _paths(t, "stream-links")
-    named = _as_stream(tracestore.with_service(t.spans(), t.annotations()), "links-in", "start_ts")
-    traces.start_links(named, out, checkpoint, UNTIL_DONE, bound="31 days").awaitTermination()
+    rows, noted = both_stores(t)
+    named = _as_stream(tracestore.with_service(rows.rows(), noted.rows()), "links-in", "start_ts", end_mark=True)
+    traces.start_links(named, out, checkpoint, UNTIL_DONE).awaitTermination()
+    for _ in range(2):
+        traces.settle_links(rows, noted, out)
     return traces.read_links(t.spark, out)

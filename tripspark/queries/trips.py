@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,8 +12,10 @@ from tripspark.functions.times import day_of_time
 from tripspark.operators import cities, routes
 from tripspark.plans import trips
 from tripspark.queries.registry import query
+from tripspark.session import fresh_path
 from tripspark.sinks.json_out import trip_bodies
 from tripspark.sources.analog import AnalogTables
+from tripspark.sources.pairroutes import PairRoutes
 from tripspark.vocabulary import PROVIDERS
 
 PAGE_SIZE = 50  # small enough that some lists have several pages
@@ -82,7 +86,7 @@ def event_days(t: AnalogTables) -> DataFrame:
     return t.table("events").select("event_id", day_of_time(F.col("ts")).alias("day"))
 
 
-@query(f"""
+TRIPS = f"""
 SELECT p.origin, p.destination, p.requests, p.status, p.distance, COALESCE(l.page, 0) AS page,
        COALESCE(l.routes, '[]') AS routes
 FROM v_pairs p LEFT JOIN (
@@ -90,13 +94,25 @@ FROM v_pairs p LEFT JOIN (
          CAST(to_json(list({{'route_id': route_id, 'origin': origin, 'destination': destination, 'date': date,
            'partner': partner, 'cost': cost, 'service_provider': service_provider}} ORDER BY row_no)) AS VARCHAR) AS routes
   FROM v_rows GROUP BY ALL) l
-ON p.origin = l.origin AND p.destination = l.destination""")
+ON p.origin = l.origin AND p.destination = l.destination"""
+
+
+@query(TRIPS)
 def trip_search(t: AnalogTables) -> DataFrame:
     """Answer pages of every asked pair, the list as JSON text."""
     answers = trips.trip_search(t.trip_requests(), t.cities(), t.routes(), PAGE_SIZE)
     return answers.withColumn("routes", F.to_json("routes", {"ignoreNullFields": "false"}))
 
 
+@query(TRIPS)
+def trip_search_stored(t: AnalogTables) -> DataFrame:
+    """The same over routes that are stored in buckets by pair."""
+    store = PairRoutes(t.spark, f"routes_{uuid.uuid4().hex}", fresh_path(t.spark, "pair-routes"))
+    store.write(t.stored_routes(), buckets=8)
+    answers = trips.trip_search(t.trip_requests(), t.cities(), store, PAGE_SIZE)
+    return answers.withColumn("routes", F.to_json("routes", {"ignoreNullFields": "false"}))
+
+
 @query(f"""
 SELECT p.origin, p.destination, COALESCE(l.page, 0) AS page,
        CAST(to_json({{'distance': p.distance, 'routes': COALESCE(l.routes, [])}}) AS VARCHAR) AS body

@@ -41,7 +41,7 @@ def by_day(spans: DataFrame, time: str = "start_ts") -> DataFrame:
     return spans.withColumn("day", F.coalesce(day_of_micros(F.col(time)), F.to_date(F.lit("0001-01-01")))).hint("rebalance", "day")
 
 
-def write_by_day(spans: DataFrame, path: str, time: str = "start_ts", batch_id: int = 0) -> None:
+def write_by_day(spans: DataFrame, path: str, batch_id: int, time: str = "start_ts") -> None:
     """Store rows by UTC day, so time ranges and retention read whole folders or skip them.
 
     Each batch has a folder of its own below each day: late rows join what their day has, and a batch written again
@@ -57,7 +57,7 @@ def write_by_day(spans: DataFrame, path: str, time: str = "start_ts", batch_id:
     )
 
 
-def write_day_table(spans: DataFrame, table: str, time: str = "start_ts", batch_id: int = 0) -> None:
+def write_day_table(spans: DataFrame, table: str, batch_id: int, time: str = "start_ts") -> None:
     """The same as a catalog table."""
     spark = spans.sparkSession
     rows = by_day(spans, time).withColumn("batch_id", F.lit(batch_id))

@@ -38,9 +38,7 @@ class AnalogTables:
     def routes(self) -> DataFrame:
         """One route per provider and id: the key of the line items is not unique.
 
-        Line items are grouped before they meet their order, and orders get their city first, so the largest table is
-        shuffled as rarely as possible and an order with very many line items brings few rows to the join. The minimum
-        of a product of rows is the minimum of each side, so this equals grouping after all joins.
+        Orders get their city first. Line items are dealt by order last, to meet it, and lie right for being grouped then.
         """
         lines = self.table("lineitem").select(
             "l_linestatus", "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_shipdate", "l_extendedprice"
@@ -59,14 +57,15 @@ class AnalogTables:
         return (
             lines.join(suppliers, "l_suppkey")
             .join(parts, "l_partkey", "left")
+            .join(ends, "l_orderkey")
             .groupBy("l_orderkey", "l_linenumber", "l_linestatus")  # a number first makes sorting cheap
             .agg(
                 F.min("s_nationkey").alias("origin"),
+                F.min("destination").alias("destination"),
                 F.min("l_shipdate").alias("traveldate"),
                 F.min("p_brand").alias("partner"),
                 F.min("l_extendedprice").alias("_price"),
             )
-            .join(ends, "l_orderkey")
             .select(
                 provider.alias("service_provider"),
                 (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("route_id"),

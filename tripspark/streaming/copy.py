@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tripspark.functions.times import time_of_micros
+from tripspark.operators.skew import lookup_join
 from tripspark.operators.spans import ROW_COLUMNS, readable_annotations, span_rows, to_points
 from tripspark.session import stage
+from tripspark.sinks.commits import CommitLog
 from tripspark.sinks.points import to_line_protocol
-from tripspark.sinks.tables import replace_batch
+from tripspark.sources.daystore import DayStore, known_parts, noted_parts
 from tripspark.streaming.files import with_trigger
 from tripspark.vocabulary import SPAN_MEASUREMENT
 
@@ -49,16 +52,32 @@ def join_streams(
     columns = {
         c: F.col(f"s.{c}") for c in ("trace_id", "parent_id", "name", "start_ts", "duration")
     } | {"span_id": F.coalesce("a.span_id", "s.id")}
-    return joined.select(*[columns.get(c, F.col(f"a.{c}")).alias(c) for c in ROW_COLUMNS])
+    alone = F.col("a.span_id").isNull().alias("alone")
+    return joined.select(*[columns.get(c, F.col(f"a.{c}")).alias(c) for c in ROW_COLUMNS], alone)
+
+
+POINTS = (
+    "time_us bigint, time timestamp_ntz, trace_id bigint, span_id bigint, parent_id bigint, name string, "
+    "endpoint_service_name string, endpoint_port int, a_key string, a_value string, a_type int, endpoint_ipv4 int, "
+    "endpoint_ipv6 string, start_ts bigint, duration bigint, a_number int, alone boolean"
+)
+
+
+def point_store(spark: SparkSession, out: str) -> DayStore:
+    """Points by day and batch, found by trace; `alone` marks a span that was sent without annotation."""
+    return DayStore(spark, f"{out}/points", StructType.fromDDL(POINTS), "time_us", ["trace_id"])
+
+
+def _write_points(points: DataFrame, batch_id: int, out: str) -> None:
+    point_store(points.sparkSession, out).write(points, batch_id)
+    to_line_protocol(points.drop("alone"), SPAN_MEASUREMENT).write.mode("overwrite").text(f"{out}/lines/batch_id={batch_id}")
 
 
 def write_copy_batch(rows: DataFrame, batch_id: int, out: str) -> None:
     """Points as a table and as text lines, in folders named after the batch: a batch run again replaces its own."""
-    points = to_points(rows).persist()
+    points = to_points(rows, more=("alone",)).persist()
     try:
-        replace_batch(points, f"{out}/points", batch_id)
-        replace_text = to_line_protocol(points, SPAN_MEASUREMENT).write.mode("overwrite")
-        replace_text.text(f"{out}/lines/batch_id={batch_id}")
+        _write_points(points, batch_id, out)
     finally:
         points.unpersist()
 
@@ -80,28 +99,40 @@ def start_copy(
     return with_trigger(writer, trigger).start()
 
 
-SETTLED = -1  # the batch of the points that the stream could not join
-
-
-def settle_copy(spans: DataFrame, annotations: DataFrame, out: str, use_high: bool = False) -> None:
-    """Send what the stream left out, from the stored rows: spans without start, early and late annotations.
+def settle_copy(spans: DayStore, annotations: DayStore, out: str, use_high: bool = False) -> int:
+    """Send what the stream left out: spans without start, annotations that came early or late. Gives the days it had to settle.
 
-    Writes the points that the batch copy would send and the stream has not; a call again replaces them. With them
-    `read_points` gives the points of the batch copy.
+    Looks only at days and batches of the two stores that came since the last call, and at the traces in them: their spans,
+    annotations and sent points are looked up by trace. Points that the batch copy would send and the stream has not are
+    written as one more batch; a span that was sent alone and has annotations now is taken back. With both, `read_points`
+    gives the points of the batch copy. Call it for days whose stream is through; a call that stopped is done again.
     """
-    spark = spans.sparkSession
-    wanted = to_points(span_rows(spans, annotations, use_high=use_high))
-    sent = spark.read.schema(wanted.schema).parquet(f"{out}/points/batch_id=[0-9]*")
-    missing = stage(wanted.exceptAll(sent), "settled-points")
-    replace_batch(missing, f"{out}/points", SETTLED)
-    to_line_protocol(missing, SPAN_MEASUREMENT).write.mode("overwrite").text(f"{out}/lines/batch_id={SETTLED}")
+    spark, log = spans.spark, CommitLog(spans.spark, f"{out}/settled")
+    now = {"spans": spans.parts(), "annotations": annotations.parts()}
+    new = {name: sorted(set(parts) - known_parts(log, name)) for name, parts in now.items()}
+    if not any(new.values()):
+        return 0
+    run = log.state().number + 1
+    keys = spans.of_parts(new["spans"]).select(*spans.keys).union(annotations.of_parts(new["annotations"]).select(*spans.keys))
+    touched = stage(keys.distinct(), "touched-traces")
+    noted = annotations.of_traces(touched, now["annotations"])
+    rows = span_rows(spans.of_traces(touched, now["spans"]), noted, parity=True, use_high=use_high, own_id="own")
+    rows = rows.withColumn("alone", F.col("span_id").isNull()).withColumn("span_id", F.coalesce("span_id", "own"))
+    wanted = stage(to_points(rows, more=("alone",)), "wanted-points")
+    store = point_store(spark, out)
+    others = [p for p in store.parts() if p.batch_id != -run]  # but what a stopped call has left
+    sent = stage(store.of_traces(touched.select("trace_id"), others), "sent-points")
+    _write_points(stage(wanted.exceptAll(sent), "settled-points"), -run, out)
+    lonely = ["trace_id", "span_id"]
+    gone = sent.where("alone").select(*lonely).join(wanted.where("alone").select(*lonely), lonely, "left_anti")
+    log.commit("settle", run, [log.write(gone, "gone", run)], notes={name: noted_parts(parts) for name, parts in now.items()})
+    return len({p.day for parts in new.values() for p in parts})
 
 
 def read_points(spark: SparkSession, out: str) -> DataFrame:
-    """Points of all batches; a span that was sent alone and got annotations when settled counts with those only."""
-    points = spark.read.parquet(f"{out}/points")
-    settled = points.where(F.col("batch_id") == SETTLED).select("trace_id", "span_id", "time_us").where("time_us IS NOT NULL")
-    of = settled.select("trace_id", "span_id").distinct().withColumn("_settled", F.lit(True))
-    alone = (F.col("a_key") == "") & (F.col("endpoint_service_name") == "") & (F.col("batch_id") != SETTLED)
-    marked = points.join(of, ["trace_id", "span_id"], "left")
-    return marked.where(~(alone & F.col("_settled").isNotNull())).select(*points.columns).drop("batch_id")
+    """Points of all batches, without spans that were sent alone and have been taken back."""
+    log = CommitLog(spark, f"{out}/settled")
+    points = point_store(spark, out).stored().where(F.col("batch_id") >= -log.state().number)
+    gone = log.read("gone", "trace_id bigint, span_id bigint")
+    kept = lookup_join(points.where("alone"), gone, ["trace_id", "span_id"], "left_anti")
+    return points.where("NOT alone").unionByName(kept).drop("alone", "day", "batch_id")
