@@ -38,7 +38,7 @@ def plan_of(df):
 
 def days_read(df):
     """Days in the partition filters of all scans."""
-    filters = re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", df._jdf.queryExecution().toString(), re.S)
+    filters = re.findall(r"PartitionFilters: \[(.*?), PushedFilters", df._jdf.queryExecution().toString(), re.S)
     return set(re.findall(r"\d{4}-\d\d-\d\d", " ".join(filters))) | {str(date.fromordinal(719163 + int(n))) for n in re.findall(r"\b1\d{4}\b", " ".join(filters))}
 
 

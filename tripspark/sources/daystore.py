@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StructType
 
 from tripspark.functions.times import day_of_micros
-from tripspark.operators.skew import is_small, lookup_join
+from tripspark.operators.skew import lookup_join
 from tripspark.session import stage
 from tripspark.sinks.commits import CommitLog
 from tripspark.sinks.tables import has_batches, write_by_day
@@ -97,7 +97,7 @@ class DayStore:
         rows = stage(rows.select(*self.schema.fieldNames()), "day-batch")
         day = F.coalesce(day_of_micros(F.col(self.time)), F.to_date(F.lit("0001-01-01")))
         index = trace_index(rows.select(*self.keys, day.alias("day")), self.keys)
-        index.write.mode("overwrite").parquet(f"{self.path}/index/batch_id={batch_id}")
+        index.write.mode("overwrite").partitionBy("level").parquet(f"{self.path}/index/batch_id={batch_id}")
         write_by_day(rows, f"{self.path}/rows", batch_id, self.time)
 
     def stored(self) -> DataFrame:
@@ -115,9 +115,17 @@ class DayStore:
     def rows(self) -> DataFrame:
         return self.stored().select(*self.schema.fieldNames())
 
+    def _folders(self, pattern: str) -> list[dict[str, str]]:
+        """Names and values in the folders that match, without a job."""
+        context = self.spark.sparkContext
+        glob = context._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{pattern}")
+        found = glob.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(glob) or []
+        paths = [f.getPath().toString().rsplit("/", pattern.count("/")) for f in found]
+        return [dict(name.split("=", 1) for name in path[1:]) for path in paths]
+
     def parts(self) -> list[Part]:
-        """Days and batches that have rows, by the index; as many as there are folders."""
-        return self.parts_in(self.index())
+        """Days and batches that have rows: as many as there are folders."""
+        return sorted(Part(date.fromisoformat(f["day"]), int(f["batch_id"])) for f in self._folders("rows/day=*/batch_id=*"))
 
     def parts_in(self, rows: DataFrame) -> list[Part]:
         found = rows.select("day", "batch_id").distinct().collect()
@@ -148,7 +156,7 @@ class DayStore:
         Every id meets one block per day and batch. The ids are broadcast if `small`, else dealt by block.
         """
         index = self.index()
-        levels = [r["level"] for r in index.select("level").distinct().collect()]  # at most MAX_LEVEL + 1
+        levels = sorted({int(f["level"]) for f in self._folders("index/batch_id=*/level=*")})  # at most MAX_LEVEL + 1
         asked = ids.dropna(subset=self.keys).select(*self.keys, trace_hash(self.keys).alias("_hash"))
         asked = asked.withColumn("level", F.explode(F.array(*[F.lit(n) for n in levels]).cast("array<int>")))
         asked = asked.withColumn("block", _block(F.col("_hash"), F.col("level")))
@@ -165,10 +173,12 @@ class DayStore:
         Up to MAX_IDS ids are looked up in the index, and only the days that may hold one are read. With more, nearly every
         day would be; then all rows are joined.
         """
-        asked = stage(ids.select(*self.keys).distinct(), "asked-traces")
-        if not is_small(asked, MAX_IDS):
+        asked = ids.select(*self.keys).distinct()
+        few = asked.limit(MAX_IDS + 1).collect()
+        if len(few) > MAX_IDS:
             rows = self.rows() if among is None else self.of_parts(list(among))
             return lookup_join(rows, asked, self.keys, "left_semi").select(*self.schema.fieldNames())
-        found = self.parts_in(self.hits(asked, True))
+        asked = F.broadcast(self.spark.createDataFrame(few, asked.schema))
+        found = self.parts_in(self.hits(asked, True)) if few else []
         wanted = found if among is None else sorted({*found} & {*among})
-        return self.of_parts(wanted).join(F.broadcast(asked), self.keys, "left_semi").select(*self.schema.fieldNames())
+        return self.of_parts(wanted).join(asked, self.keys, "left_semi").select(*self.schema.fieldNames())
