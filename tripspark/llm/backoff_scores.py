@@ -30,14 +30,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripspark.llm.chunked import ASKED, Question, answered, asked_table, chunk_cells, chunk_count, documents
+from tripspark.llm.chunked import (
+    ASKED,
+    Question,
+    answered,
+    asked_table,
+    bucket_count_of,
+    chunk_cells,
+    chunk_count,
+    documents,
+    text_bytes,
+)
 from tripspark.llm.frames import named
-from tripspark.llm.packed import bucket_count, bucket_of
+from tripspark.llm.packed import bucket_of
 from tripspark.llm.text_blocks import Words, blocks, grams, word_counts, words_of
 
 ORDER = 3
 BACKOFF = 0.4
 CHUNK_BYTES = 12 << 20
+BUCKET_BYTES = 16 << 20  # of text, whose n-grams a bucket counts
 
 
 def _all_words(texts: pa.ChunkedArray) -> Words:
@@ -55,9 +66,8 @@ def _question(own: np.ndarray, n: int, buckets: int) -> Question:
     return Question(n, bucket_of(own, buckets))
 
 
-def asked(chunks: DataFrame, order: int = ORDER) -> DataFrame:
+def asked(chunks: DataFrame, buckets: int, order: int = ORDER) -> DataFrame:
     """The distinct n-grams of every chunk, rising within a bucket, with their counts."""
-    buckets = bucket_count(chunks.sparkSession)
 
     def made(table: pa.Table) -> pa.Table:
         chunk = table.column("chunk")[0].as_py()
@@ -119,9 +129,10 @@ def _scores(words: Words, totals: dict[int, np.ndarray], order: int, corpus: int
 def scored(df: DataFrame, key: str = "doc_id", text: str = "text", order: int = ORDER) -> DataFrame:
     """Columns doc_id, n_words, n_full (n-grams of the full order that other documents have too), score."""
     size = df.select(F.arrow_udf(_n_words, "long")(named(text)).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    chunks = chunk_cells(df, key, text, chunk_count(df, text, CHUNK_BYTES))
-    totals = answered(asked(chunks, order), ["u8", "i8"], _totals, steps=(0,))
-    buckets = bucket_count(df.sparkSession)
+    volume = text_bytes(df, text)
+    buckets = bucket_count_of(df, volume, BUCKET_BYTES)
+    chunks = chunk_cells(df, key, text, chunk_count(df, text, CHUNK_BYTES, volume))
+    totals = answered(asked(chunks, buckets, order), ["u8", "i8"], _totals, steps=(0,))
 
     def made(left: pa.Table, right: pa.Table) -> pa.Table:
         docs = documents(left.column("cell"))

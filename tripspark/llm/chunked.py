@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripspark.llm.frames import named
+from tripspark.llm.packed import bucket_count
 
 CHUNK = "chunk int, cell binary"
 ASKED = "bucket int, chunk int, part int, cell binary"
@@ -27,13 +28,25 @@ NOTE = 0  # a part that a chunk sends to itself: passed on as it is
 LEAST_CHUNK = 1 << 18
 
 
-def chunk_count(df: DataFrame, text: str, chunk_bytes: int) -> int:
+def text_bytes(df: DataFrame, text: str) -> int:
+    return df.agg(F.coalesce(F.sum(F.octet_length(named(text))), F.lit(0)).alias("n")).first()["n"]
+
+
+def chunk_count(df: DataFrame, text: str, chunk_bytes: int, total: int | None = None) -> int:
     """Chunks of about that size; smaller ones where that keeps more tasks busy."""
-    total = df.agg(F.coalesce(F.sum(F.octet_length(named(text))), F.lit(0)).alias("n")).first()["n"]
+    total = text_bytes(df, text) if total is None else total
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(1, -(-total // chunk_bytes), min(partitions, total // LEAST_CHUNK))
 
 
+def bucket_count_of(df: DataFrame, total: int, bucket_bytes: int) -> int:
+    """Buckets for the hashes of `total` bytes of text, none for much more than `bucket_bytes` of them.
+
+    The setting for shuffles asks for more, smaller ones, but not so small that a cell holds next to nothing.
+    """
+    return max(1, -(-total // bucket_bytes), min(bucket_count(df.sparkSession), total // LEAST_CHUNK))
+
+
 def chunk_cells(df: DataFrame, key: str, text: str, count: int) -> DataFrame:
     """Rows (chunk, cell): documents dealt by the hash of id and text, compressed."""
 
