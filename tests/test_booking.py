@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from tripspark.operators import ordering
 from tripspark.operators.booking import book, bookable_requests, booked_rows, invalid_requests, last_key, missing_requests
 from tripspark.plans.bookings import read_bookings, run_bookings
 from tripspark.sources.tables import load_table
@@ -98,3 +99,22 @@ def test_no_bookings(spark, requests, routes):
     none = book(requests.where("request_id > 2"), routes)
     assert booked_rows(none).count() == 0
     assert last_key(booked_rows(none)) == 0
+
+
+def test_rows_without_id_need_not_fit_in_one_range(spark, monkeypatch):
+    staged = []
+
+    def keep(df, name, plain=ordering.stage):
+        staged.append(plain(df, name))
+        return staged[-1]
+
+    monkeypatch.setattr(ordering, "stage", keep)
+    df = spark.range(4_000, numPartitions=4).select(F.lit(None).cast("long").alias("request_id"), F.lit(1).alias("x"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # which would join such small ranges
+    try:
+        keyed = ordering.with_dense_keys(df, ["request_id"], start=10)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [r["id"] for r in keyed.orderBy("id").collect()] == list(range(11, 4_011))
+    parts = staged[-1].groupBy(F.shiftright("_place", 33)).count().collect()
+    assert len(parts) > 1 and max(r["count"] for r in parts) < 3_000

@@ -97,7 +97,7 @@ def booked_rows(results: DataFrame, last_id: int = 0) -> DataFrame:
     booked = results.where(F.col("status") == "booked").select(
         "request_id", "service_provider", "route_id", "booking_time"
     )
-    return with_dense_keys(booked, ["request_id"], "id", last_id).drop("request_id")
+    return with_dense_keys(booked, ["request_id", "service_provider", "route_id"], "id", last_id).drop("request_id")
 
 
 def last_key(stored: DataFrame, column: str = "id") -> int:

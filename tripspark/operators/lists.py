@@ -28,10 +28,14 @@ def pages(
 
     Page 0 has the first elements of the group's order, page 1 the next ones, whatever the partitioning. Equal elements
     are counted first. In groups that need several pages the place of an element is the number of elements before it:
-    those in earlier ranges of the order, which are added up per range, and those before it in its own range.
+    those in earlier ranges of the order, which are added up per range, and those before it in its own range. Where no group
+    has more rows than a page, which a pass over the groups' columns tells, nothing of that is needed.
     """
     rows = df.select(*group, *elements)
     counted = rows.groupBy(*group, *elements).agg((F.lit(1) if distinct else F.count(F.lit(1))).cast("long").alias("_n"))
+    most = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"]
+    if (most or 0) <= page_size:
+        return _lists(counted.withColumns({"page": F.lit(0), "_times": F.col("_n")}), group, elements, name)
     counted = stage(counted, "counted-elements")
     large = stage(
         counted.groupBy(*group).agg(F.sum("_n").alias("_all")).where(F.col("_all") > page_size).select(*group),
@@ -42,18 +46,14 @@ def pages(
         {"page": F.lit(0), "_times": F.col("_n")}
     )
     paged = _paged(counted.alias("c").join(large.alias("l"), same, "left_semi"), group, elements, page_size)
-    item = F.col(elements[0]) if len(elements) == 1 else F.struct(*elements)
     columns = [*group, *elements, "page", "_times"]
-    return (
-        small.select(*columns)
-        .unionByName(paged.select(*columns))
-        .groupBy(*group, "page")
-        .agg(
-            F.array_sort(
-                F.flatten(F.collect_list(F.array_repeat(item, F.col("_times").cast("int"))))
-            ).alias(name)
-        )
-    )
+    return _lists(small.select(*columns).unionByName(paged.select(*columns)), group, elements, name)
+
+
+def _lists(paged: DataFrame, group: list[str], elements: list[str], name: str) -> DataFrame:
+    item = F.col(elements[0]) if len(elements) == 1 else F.struct(*elements)
+    repeated = F.array_repeat(item, F.col("_times").cast("int"))
+    return paged.groupBy(*group, "page").agg(F.array_sort(F.flatten(F.collect_list(repeated))).alias(name))
 
 
 def _paged(counted: DataFrame, group: list[str], elements: list[str], page_size: int) -> DataFrame:

@@ -72,12 +72,13 @@ def with_dense_keys(df: DataFrame, order: list[str], name: str = "id", start: in
     """Keys start+1, start+2, ... in the given order.
 
     The rows are stored, range-partitioned and stored again with their place, as the range partitioning reads its input
-    twice; only the row count of each partition reaches the driver.
+    twice; only the row count of each partition reaches the driver. Rows that the order leaves equal, such as all those
+    without id, are told apart by where they are stored, so they need not fit in one range.
     """
-    placed = stage(
-        stage(df, "unplaced").repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id()),
-        "dense-keys",
-    )
+    ranges = [*order, "_stored"]
+    unplaced = stage(df.withColumn("_stored", F.monotonically_increasing_id()), "unplaced")
+    ranged = unplaced.repartitionByRange(*ranges).sortWithinPartitions(*ranges)
+    placed = stage(ranged.withColumn("_place", F.monotonically_increasing_id()), "dense-keys")
     part = F.shiftright("_place", 33)
     counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("n")).orderBy("_part").collect()
     shifts = [(row["_part"], shift) for row, shift in zip(counts, accumulate([start] + [r["n"] for r in counts]))]
