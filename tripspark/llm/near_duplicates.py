@@ -15,9 +15,10 @@ Steps:
 4. `family_links`: members of a family are compared exactly, by the products of their shingle matrices, in blocks of at
    most 2 * `FAMILY_BLOCK` members, and each block gives the edges of a spanning forest only. So thousands of copies of one
    original make as many edges as members, not all their pairs.
-5. `probe_pairs`: probes meet all postings of their shingle, but not those of a common family. Shared probes are counted
-   per pair; a pair goes on if they can still add up to the overlap it needs.
-6. `verified`: the exact sets of both texts decide.
+5. `probe_pairs`: probes meet all postings of their shingle, but not those of a common family, nor those that the families'
+   edges already connect with them. Shared probes are counted per pair; a pair goes on if they can still add up to the
+   overlap it needs.
+6. `verified`: the whole sets of both texts, read again, decide.
 7. Components over all edges.
 
 Numbers travel as packed cells (packed.py); texts are shuffled only for documents in a family or a pair. No cap on
@@ -25,8 +26,9 @@ partners, no cap on groups: a family of g members is compared in (g / FAMILY_BLO
 
 Cases: a null or empty text, or one without words, has an empty set and links with nothing. One to four words make one
 shingle of all words. Rows with equal ids are one document with all their texts, and linked. Rows with a null id link with
-nothing. Sets count as equal when two 64-bit sums over them and their sizes agree. An empty table gives no rows. Other
-columns are not read by `edges` and `grouped`, and pass through `without_duplicates`.
+nothing. Shingles are told apart by 64-bit hashes, and sets count as equal when a 64-bit hash of two sums over them and their
+size agrees. An empty table gives no rows. Other columns are not read by `edges` and `grouped`, and pass through
+`without_duplicates`.
 """
 
 from __future__ import annotations
@@ -49,7 +51,8 @@ FAMILY_BLOCK = 256
 
 _POSTING = {"token": "u8", "node": "u8", "n": "i4", "pos": "i4"}
 _SHARED = {**_POSTING, "df": "i4"}
-_PROBE = {**_POSTING, "level": "i4", "use": "i4", "family": "u8", "second": "u8", "third": "u8"}
+_PROBE = {**_POSTING, "level": "i4", "use": "i4", "family": "u8", "second": "u8", "third": "u8", "part": "u8"}
+_PART = {"node": "u8", "part": "u8"}
 _FAMILIES = ("family", "second", "third")
 
 
@@ -187,15 +190,36 @@ def _choice(rows: dict[str, np.ndarray], dear_df: int) -> dict[str, np.ndarray]:
     } | tops
 
 
-def chosen(shared_cells: DataFrame, dear: int = DEAR) -> DataFrame:
-    """Cells by shingle, with what each node chose and the families it is in."""
+def part_cells(parts: DataFrame) -> DataFrame:
+    """Cells of (node, component), by node."""
+    buckets = bucket_count(parts.sparkSession)
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Packer(_PART, buckets, "node")
+        for batch in batches:
+            node, part = (batch.column(i).to_numpy().view(np.uint64) for i in range(2))
+            yield from out.add({"node": node, "part": part})
+        yield from out.rest()
+
+    return parts.select("node", "component").mapInArrow(made, CELL)
+
+
+def chosen(shared_cells: DataFrame, parts: DataFrame, dear: int = DEAR) -> DataFrame:
+    """Cells by shingle, with what each node chose, the families it is in, and the part of the graph that those gave it."""
     buckets = bucket_count(shared_cells.sparkSession)
 
-    def made(table: pa.Table) -> pa.Table:
+    def made(table: pa.Table, known_cells: pa.Table) -> pa.Table:
         rows = _choice(unpacked(table.column("cell"), _SHARED), dear)
+        known = unpacked(known_cells.column("cell"), _PART)
+        order = np.argsort(known["node"])
+        own, part = known["node"][order], known["part"][order]
+        rows["part"] = rows["node"].copy()  # alone, unless some family linked it
+        if len(own):
+            at = np.minimum(np.searchsorted(own, rows["node"]), len(own) - 1)
+            rows["part"] = np.where(own[at] == rows["node"], part[at], rows["node"])
         return pa.Table.from_batches([packed(bucket_of(rows["token"], buckets), rows, _PROBE)])
 
-    return by_bucket(shared_cells, made, CELL)
+    return shared_cells.groupBy("bucket").cogroup(part_cells(parts).groupBy("bucket")).applyInArrow(made, CELL)
 
 
 def members(shared_cells: DataFrame, dear: int = DEAR) -> DataFrame:
@@ -350,7 +374,7 @@ def _ranges(start: np.ndarray, end: np.ndarray, of: np.ndarray) -> Iterator[tupl
 
 
 def probe_pairs(cells: DataFrame) -> DataFrame:
-    """One row per shared probe of two nodes without a common family: x is the larger set, and the one that probes."""
+    """One row per shared probe of two nodes that no family has compared or connected: x is the larger set, and probes."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, low, high = _sorted_probes(pa.Table.from_batches(list(batches)))
@@ -382,12 +406,14 @@ def _small_groups(n: np.ndarray, low: np.ndarray, probes: np.ndarray) -> Iterato
 
 
 def _large_group(rows, n, a: int, b: int, probes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of one frequent shingle. Members of its largest family meet only the others."""
-    family = rows["family"][a:b]
-    names, counts = np.unique(family[family != 0], return_counts=True)
-    main = names[np.argmax(counts)] if len(names) else np.uint64(1)
-    others = a + np.flatnonzero(family != main)
-    inside = rows["family"][probes] == main
+    """Pairs of one frequent shingle. Members of its largest family, or part if that is larger, meet only the others."""
+    kind, main, most = "family", np.uint64(1), 0
+    for name in ("family", "part"):
+        values, counts = np.unique(rows[name][a:b][rows[name][a:b] != 0], return_counts=True)
+        if len(counts) and counts.max() > most:
+            kind, main, most = name, values[np.argmax(counts)], counts.max()
+    others = a + np.flatnonzero(rows[kind][a:b] != main)
+    inside = rows[kind][probes] == main
     # All smaller rows for those outside the family; the smaller ones outside for those inside.
     outer = probes[~inside]
     yield from _ranges(a + np.searchsorted(n[a:b], needed(n[outer])), outer, outer)
@@ -399,7 +425,7 @@ def _large_group(rows, n, a: int, b: int, probes: np.ndarray) -> Iterator[tuple[
 
 def _met(rows, n, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
     for x, y in pairs:
-        fits = (100 * n[y] >= 80 * n[x]) & ~_same_family(rows, x, y)
+        fits = (100 * n[y] >= 80 * n[x]) & (rows["part"][x] != rows["part"][y]) & ~_same_family(rows, x, y)
         fits &= rows["pos"][y] < base_prefix(n[y]) + rows["level"][x] - 1
         # Sets of these two sizes share at least `least`; with SLACK more in either prefix they share SLACK + 1 probes.
         least = -(-4 * (n[x] + n[y]) // 9)
@@ -477,8 +503,9 @@ def edges(
     known = documents.where(F.col("node").isNotNull() & F.col("doc_id").isNotNull())
     nodes = stored(known.groupBy("node").agg(F.min("doc_id").alias("rep")), "nodes")
     cells = stored(shared(postings(df.where(named(key).isNotNull()), text)), "shared")
-    within = family_links(members(cells, dear), nodes, df, key, text)
-    crossing = verified(candidates(probe_pairs(chosen(cells, dear))), nodes, df, key, text)
+    within = stored(family_links(members(cells, dear), nodes, df, key, text), "family-edges")
+    parts = components(within, "x", "y")
+    crossing = verified(candidates(probe_pairs(chosen(cells, parts, dear))), nodes, df, key, text)
     return documents, nodes, stored(within.unionByName(crossing).distinct(), "edges")
 
 
