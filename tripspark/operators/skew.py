@@ -51,11 +51,12 @@ def hot_keys(df: DataFrame, keys: list[str]) -> HotKeys:
     Each task sums up its keys, groups of tasks merge their summaries, and the heavy keys of the groups are added up by
     key: no task sees more summaries than there are tasks per shuffle partition. A summary follows several times as many
     keys as can be heavy, so a heavy key is in the list of every group where it has its share. Counts are estimates: a
-    wrong one changes how rows are spread, never the rows. The answer is kept for the same table and keys.
+    wrong one changes how rows are spread, never the rows. The answer is kept for the same table, keys and size of files.
     """
     partitions = _partitions(df)
     hashes = df.select(key_hash(df, keys).alias("hash"))
-    known = (df.sparkSession.sparkContext.applicationId, hashes.semanticHash(), partitions, HOT_ROWS, HOT_PARTITIONS)
+    size = str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())  # a path that is written again
+    known = (df.sparkSession.sparkContext.applicationId, hashes.semanticHash(), size, partitions, HOT_ROWS, HOT_PARTITIONS)
     if known not in _FOUND:
         # With very many partitions a key has to be somewhat larger than two of them to be found.
         share = min(0.25, max(HOT_PARTITIONS / partitions, 2 / MOST_LISTED))
