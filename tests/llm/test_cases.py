@@ -69,6 +69,16 @@ def test_classifier_never_reads_held_out_labels(spark, make):
     assert compression_classifier.trained(docs, labels) == compression_classifier.trained(docs, turned)
 
 
+def test_curve_is_the_best_rising_one():
+    xs, ys = [1.0, 2.0, 2.0, 3.0, 4.0, 5.0, 6.0], [0, 1, 0, 0, 1, 0, 1]
+    steps = compression_classifier._rising(xs, ys)
+    assert steps == ((1.0, 0.0), (2.0, 1 / 3), (3.0, 1 / 3), (4.0, 0.5), (5.0, 0.5), (6.0, 1.0))
+    model = compression_classifier.CompressionModel(slope=1.0, steps=steps)
+    places = [x / 10 for x in range(-5, 90)]
+    values = [model.probability(x) for x in places]
+    assert values == sorted(values) and len(set(values)) == len(values) and 0 <= values[0] and values[-1] <= 1
+
+
 def test_licenses(odd, empty, make):
     found = license_scan.scanned(odd, into="found_licenses").select("doc_id", "found_licenses").collect()
     assert len(found) == len(ODD_ROWS)

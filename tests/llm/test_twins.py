@@ -79,3 +79,4 @@ def test_quality_on_held_out_labels(spark):
     assert wins > 0.97
     assert sum(r["predicted"] == r["quality"] for r in known) / len(known) > 0.93
     assert sum(r["predicted"] for r in known if r["quality"] == 1) / len(good) > 0.99
+    assert sum(r["predicted"] for r in known if r["quality"] == 0) / len(bad) < 0.25

@@ -1,7 +1,9 @@
 """Quality by compression: two zstandard dictionaries, one trained on good and one on bad labelled text.
 
-A text is compressed with each. The difference of the two sizes per byte says which text it resembles; a logistic
-curve, fitted on labelled texts that trained no dictionary, turns that into a probability of label 1.
+A text is compressed with each. The difference of the two sizes per byte says which text it resembles; a curve, fitted on
+labelled texts that trained no dictionary, turns that into a probability of label 1. With `ENOUGH` texts of each class the curve
+is the rising step function that fits them best (pool adjacent violators), joined by lines and mixed with a little of a
+logistic curve, so that it never stands still; with fewer it is the logistic curve.
 
 The fit reads a bounded sample: at most `SAMPLE` labelled rows of each class, the same for any partitioning (lowest hash
 first), from texts of at most `FIT_CHARS` code points. They are found by a broadcast of the sampled ids (at most
@@ -16,6 +18,8 @@ columns pass through `scored`.
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import math
 from dataclasses import dataclass
 
@@ -37,6 +41,8 @@ DICTIONARY = 110 << 10  # bytes, or a quarter of the smaller class where that is
 PIECE = 4_000  # bytes; training works on many short samples, not on few long ones
 LEVEL = 3
 THRESHOLD = 0.3
+ENOUGH = 30  # texts of a class that the step function needs
+LOGISTIC_SHARE = 0.02
 
 
 def fold(key: Column) -> Column:
@@ -49,6 +55,7 @@ class CompressionModel:
     bad: bytes = b""
     slope: float = 0.0
     offset: float = 0.0
+    steps: tuple[tuple[float, float], ...] = ()  # rising (difference, probability)
     level: int = LEVEL
 
     def compressors(self) -> tuple[zstandard.ZstdCompressor, zstandard.ZstdCompressor]:
@@ -75,7 +82,15 @@ class CompressionModel:
 
     def probability(self, difference: float) -> float:
         z = max(-40.0, min(40.0, self.offset + self.slope * difference))
-        return 1 / (1 + math.exp(-z))
+        smooth = 1 / (1 + math.exp(-z))
+        return (1 - LOGISTIC_SHARE) * self._stepped(difference) + LOGISTIC_SHARE * smooth if self.steps else smooth
+
+    def _stepped(self, difference: float) -> float:
+        after = bisect.bisect_right(self.steps, (difference, math.inf))
+        if after in (0, len(self.steps)):
+            return self.steps[min(after, len(self.steps) - 1)][1]
+        (x, p), (y, q) = self.steps[after - 1], self.steps[after]
+        return p + (q - p) * (difference - x) / (y - x)
 
 
 def _dictionary(samples: list[bytes], size: int) -> bytes:
@@ -102,8 +117,22 @@ def fitted(rows: list[tuple[bytes, int, bool]], size: int = DICTIONARY) -> Compr
     curve = [r for r in rows if r[2]]
     if len({y for _, y, _ in curve}) < 2:
         curve = rows
-    slope, offset = _logistic(model.differences([t for t, _, _ in curve]), [y for _, y, _ in curve])
-    return CompressionModel(model.good, model.bad, slope, offset)
+    xs, ys = model.differences([t for t, _, _ in curve]), [y for _, y, _ in curve]
+    slope, offset = _logistic(xs, ys)
+    steps = _rising(xs, ys) if min(sum(ys), len(ys) - sum(ys)) >= ENOUGH and slope > 0 else ()
+    return CompressionModel(model.good, model.bad, slope, offset, steps)
+
+
+def _rising(xs: list[float], ys: list[int]) -> tuple[tuple[float, float], ...]:
+    """Pool adjacent violators: first and last place of each level of the best rising step function, with its value."""
+    levels: list[list[float]] = []  # first place, last place, sum, count
+    for x, same in itertools.groupby(sorted(zip(xs, ys)), key=lambda r: r[0]):
+        own = [y for _, y in same]
+        levels.append([x, x, sum(own), len(own)])
+        while len(levels) > 1 and levels[-2][2] * levels[-1][3] >= levels[-1][2] * levels[-2][3]:
+            _, last, total, count = levels.pop()
+            levels[-1][1:] = [last, levels[-1][2] + total, levels[-1][3] + count]
+    return tuple((x, total / count) for a, b, total, count in levels for x in dict.fromkeys((a, b)))
 
 
 def _logistic(xs: list[float], ys: list[int], steps: int = 50, ridge: float = 1e-4) -> tuple[float, float]:
