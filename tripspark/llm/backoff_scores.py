@@ -47,7 +47,7 @@ from tripspark.llm.text_blocks import Words, blocks, grams, word_counts, words_o
 
 ORDER = 3
 BACKOFF = 0.4
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 10 << 20
 BUCKET_BYTES = 16 << 20  # of text, whose n-grams a bucket counts
 
 
