@@ -58,8 +58,11 @@ class CommitLog:
         numbers = self._numbers()
         if not numbers:
             return State()
-        (text,) = (r["value"] for r in self.spark.read.text(f"{self.path}/commits/{numbers[-1]:010d}", wholetext=True).collect())
-        told = json.loads(text)
+        stream = self._system().open(self._file(f"commits/{numbers[-1]:010d}"))
+        try:
+            told = json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
         return State(told["number"], told["runs"], [Folder(**f) for f in told["folders"]], told["notes"])
 
     def done(self, job: str, run: int) -> bool:
