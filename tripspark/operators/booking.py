@@ -92,12 +92,12 @@ def book(requests: DataFrame, routes: DataFrame, now: Column | None = None) -> D
     return outcome(found, now)
 
 
-def booked_rows(results: DataFrame, last_id: int = 0) -> DataFrame:
-    """Rows to append to the stored bookings, with keys that go on after `last_id`."""
+def booked_rows(results: DataFrame, last_id: int = 0, stored: bool = False) -> DataFrame:
+    """Rows to append to the stored bookings, with keys that go on after `last_id`; `stored` tells that results are a table."""
     booked = results.where(F.col("status") == "booked").select(
         "request_id", "service_provider", "route_id", "booking_time"
     )
-    return with_dense_keys(booked, ["request_id", "service_provider", "route_id"], "id", last_id).drop("request_id")
+    return with_dense_keys(booked, ["request_id", "service_provider", "route_id"], "id", last_id, stored).drop("request_id")
 
 
 def last_key(stored: DataFrame, column: str = "id") -> int:

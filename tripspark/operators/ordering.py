@@ -68,15 +68,16 @@ def previous_in_group(
     return local.join(starts, same, "left").select(*[F.col(f"m.{c}") for c in df.columns], before.alias(name))
 
 
-def with_dense_keys(df: DataFrame, order: list[str], name: str = "id", start: int = 0) -> DataFrame:
+def with_dense_keys(df: DataFrame, order: list[str], name: str = "id", start: int = 0, stored: bool = False) -> DataFrame:
     """Keys start+1, start+2, ... in the given order.
 
-    The rows are stored, range-partitioned and stored again with their place, as the range partitioning reads its input
-    twice; only the row count of each partition reaches the driver. Rows that the order leaves equal, such as all those
+    The rows are stored, unless they come from a stored table, range-partitioned and stored again with their place, as the
+    range partitioning reads its input twice; only the row count of each partition reaches the driver. Rows that the order leaves equal, such as all those
     without id, are told apart by where they are stored, so they need not fit in one range.
     """
     ranges = [*order, "_stored"]
-    unplaced = stage(df.withColumn("_stored", F.monotonically_increasing_id()), "unplaced")
+    numbered = df.withColumn("_stored", F.monotonically_increasing_id())
+    unplaced = numbered if stored else stage(numbered, "unplaced")
     ranged = unplaced.repartitionByRange(*ranges).sortWithinPartitions(*ranges)
     placed = stage(ranged.withColumn("_place", F.monotonically_increasing_id()), "dense-keys")
     part = F.shiftright("_place", 33)

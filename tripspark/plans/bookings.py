@@ -32,7 +32,7 @@ def run_bookings(
     if has_batches(spark, booked_path):
         stored = spark.read.schema("id BIGINT, batch_id INT").parquet(booked_path)
         last = last_key(stored.where(F.col("batch_id") < run_id))
-    replace_batch(booked_rows(results, last), booked_path, run_id)
+    replace_batch(booked_rows(results, last, stored=True), booked_path, run_id)
     return results
 
 

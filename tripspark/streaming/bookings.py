@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripspark.operators.booking import book, booked_rows, with_number
 from tripspark.operators.skew import lookup_join
+from tripspark.sinks.commits import CommitLog
 from tripspark.sinks.tables import replace_batch
 from tripspark.streaming.files import with_trigger
 
@@ -31,11 +32,10 @@ def _asked_routes(asked: DataFrame, routes: DataFrame) -> DataFrame:
     return lookup_join(numbered, keys, ["service_provider", "route_id"], "left_semi", check_size=True)
 
 
-def _last_before(spark: SparkSession, out: str, batch_id: int) -> int:
-    """The last key of the batches before this one, kept in a row per batch."""
-    if batch_id == 0:
-        return 0
-    return spark.read.schema("last BIGINT").parquet(f"{out}/last/batch_id={batch_id - 1}").first()["last"]
+def _last_before(log: CommitLog, batch_id: int) -> int:
+    """The last key of the batches before this one, which may be the one that ran last."""
+    batch, before, last = log.state().notes.get("last", [-1, 0, 0])
+    return before if batch == batch_id else last
 
 
 def write_booking_batch(
@@ -54,11 +54,11 @@ def write_booking_batch(
     finally:
         asked.unpersist()
     results = spark.read.parquet(f"{out}/results/batch_id={batch_id}")
-    before = _last_before(spark, out, batch_id)
-    replace_batch(booked_rows(results, before), f"{out}/booked", batch_id)
-    booked = spark.read.schema("id BIGINT").parquet(f"{out}/booked/batch_id={batch_id}")
-    last = booked.agg(F.greatest(F.coalesce(F.max("id"), F.lit(before)), F.lit(before)).cast("long").alias("last"))
-    replace_batch(last, f"{out}/last", batch_id)
+    log = CommitLog(spark, f"{out}/keys")
+    before = _last_before(log, batch_id)
+    replace_batch(booked_rows(results, before, stored=True), f"{out}/booked", batch_id)
+    booked = spark.read.schema("id BIGINT").parquet(f"{out}/booked/batch_id={batch_id}").count()
+    log.commit("keys", batch_id, [], notes={"last": [batch_id, before, before + booked]})
 
 
 def start_bookings(
