@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -192,6 +193,42 @@ def test_groups_like_all_pairs(make, seed, groups, passage, dear):
     assert found == brute.components(rows)
 
 
+@pytest.mark.parametrize("block,pivots,wide", [(8, 2, 4), (8, 0, 16), (16, 4, 1024)])
+def test_families_of_several_blocks(make, monkeypatch, block, pivots, wide):
+    """Members meet in their block, by pivots, or by their sketches: the groups are the same."""
+    for name, value in (("FAMILY_BLOCK", block), ("PIVOTS", pivots), ("WIDE", wide)):
+        monkeypatch.setattr(near_duplicates, name, value)
+    rng = random.Random(block + wide)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    shared, rows = [f"p{i}" for i in range(90)], []
+    for size, rate, length in ((120, 0.02, 60), (60, 0.035, 300), (40, 0.01, 20)):
+        own = shared + rng.choices(vocabulary, k=length)
+        rows += [" ".join(rng.choice(vocabulary) if rng.random() < rate else w for w in own) for _ in range(size)]
+    rows = list(enumerate(rows))
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates.grouped(make(rows)).collect()}
+    assert found == brute.components(rows)
+
+
+def test_sketches_never_rule_out_links():
+    rng = np.random.default_rng(5)
+    for n in (1, 4, 7, 60, 900):
+        pool = rng.integers(0, 2**63, 2 * n).astype(np.uint64)
+        for _ in range(40):
+            one, other = (np.unique(rng.choice(pool, rng.integers(1, n + 1), replace=False)) for _ in range(2))
+            if rng.random() < 0.7:
+                other = np.unique(np.concatenate([one[rng.random(len(one)) > 0.1], other[: n // 12]]))
+            common = len(np.intersect1d(one, other))
+            linked = common > 0 and 180 * common >= 80 * (len(one) + len(other))
+            for bits in (64, 256, 4096):
+                a, b = (np.frombuffer(near_duplicates.sketch(s, bits), dtype=np.uint64) for s in (one, other))
+                differ = int(np.bitwise_count(a ^ b).sum())
+                assert differ <= len(one) + len(other) - 2 * common
+                assert not linked or differ <= near_duplicates.may_differ(np.int64(len(one)), np.int64(len(other)))
+                half = len(np.frombuffer(near_duplicates.sketch(one, bits), np.uint64)) // 2
+                if half:
+                    assert (a[:half] ^ a[half:]).tobytes() == near_duplicates.sketch(one, bits // 2)
+
+
 def test_decontamination(odd, empty, benchmark):
     marked = decontamination.marked(odd, benchmark, into="m2").select("doc_id", "text", "m2").collect()
     plain = brute.hits([(i, t) for i, t in enumerate(r["text"] for r in marked)], [(i if i is not None else "", t) for i, t in BENCHMARK])

@@ -12,17 +12,26 @@ Steps:
 1. `sets`: per document the number of shingles and a hash of the set. Equal sets are one node from here on.
 2. `postings`: the longest prefix any l needs, dealt by shingle; only shingles of two or more nodes go on.
 3. `members`: a node whose prefix is mostly shared belongs to the families of its three most frequent prefix shingles.
-4. `family_links`: members of a family are compared exactly, by the products of their shingle matrices, in blocks of at
-   most 2 * `FAMILY_BLOCK` members, and each block gives the edges of a spanning forest only. So thousands of copies of one
-   original make as many edges as members, not all their pairs.
-5. `probe_pairs`: probes meet all postings of their shingle, but not those of a common family, nor those that the families'
+4. `family_links`: members of a family are dealt to blocks of about `FAMILY_BLOCK`, and some `PIVOTS` of them to every
+   block. A block compares its members exactly, by the products of their shingle matrices, and gives the edges of a
+   spanning forest only. So a text goes to one block per family, and thousands of copies of one original make as many edges
+   as members, not all their pairs; the pivots connect the blocks.
+5. `family_pairs`: members that those edges don't connect meet by their sketches, in blocks of numbers without texts.
+   Members of a family's largest part meet the others only.
+6. `probe_pairs`: probes meet all postings of their shingle, but not those of a common family, nor those that the families'
    edges already connect with them. Shared probes are counted per pair; a pair goes on if they can still add up to the
    overlap it needs.
-6. `verified`: the whole sets of both texts, read again, decide.
-7. Components over all edges.
+7. `verified`: the whole sets of both texts, read again, decide about the pairs of steps 5 and 6.
+8. Components over all edges.
+
+A sketch has a bit per hash place, which is the parity of the set's shingles there. Every shingle that only one of two sets
+has turns one bit, so sets whose sketches differ in more bits than linked sets may differ in shingles don't link: sketches
+rule pairs out and never lose one. Those of step 5 are as wide as the set asks for, so they serve texts of any length;
+those of step 6 have 256 bits and serve texts of up to some hundred words.
 
 Numbers travel as packed cells (packed.py); texts are shuffled only for documents in a family or a pair. No cap on
-partners, no cap on groups: a family of g members is compared in (g / FAMILY_BLOCK)^2 / 2 blocks, each a task's small part.
+partners, no cap on groups: where r of a family's g members are outside its largest part, sketches meet in r * g / WIDE^2
+blocks, each a task's small part.
 
 Cases: a null or empty text, or one without words, has an empty set and links with nothing. One to four words make one
 shingle of all words. Rows with equal ids are one document with all their texts, and linked. Rows with a null id link with
@@ -48,12 +57,16 @@ from tripspark.llm.text_blocks import NO_BLANKS, blocks, grams, mixed, whole_gra
 SIZE = 5
 DEAR = 24  # a shingle in more documents costs more than a longer prefix
 FAMILY_BLOCK = 256
+PIVOTS = 64
+WIDE = 1024  # members of a block of sketches
+SKETCH_BITS = 256
 
 _POSTING = {"token": "u8", "node": "u8", "n": "i4", "pos": "i4"}
 _SHARED = {**_POSTING, "df": "i4"}
-_PROBE = {**_POSTING, "level": "i4", "use": "i4", "family": "u8", "second": "u8", "third": "u8", "part": "u8"}
-_PART = {"node": "u8", "part": "u8"}
 _FAMILIES = ("family", "second", "third")
+_SKETCH = tuple(f"bits{i}" for i in range(SKETCH_BITS // 64))
+_PART = {"node": "u8", "part": "u8"} | {name: "u8" for name in _SKETCH}
+_PROBE = {**_POSTING, "level": "i4", "use": "i4"} | {name: "u8" for name in (*_FAMILIES, "part", *_SKETCH)}
 
 
 def needed(n: np.ndarray) -> np.ndarray:
@@ -92,21 +105,32 @@ def _node(shingles: np.ndarray) -> np.uint64:
     return mixed(sums[:1] + mixed(sums[1:]))[0]
 
 
+def sketch(shingles: np.ndarray, bits: int) -> bytes:
+    """Parities of the numbers of shingles by place; `bits` is a power of two. The halves of a sketch add up to a narrower one."""
+    places = (mixed(shingles) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def may_differ(n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """In how many shingles linked sets of n and m may differ: each has 4 (n + m) / 9 at least of the other's."""
+    return n + m + 2 * (-4 * (n + m) // 9)
+
+
 def sets(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Columns doc_id, n, node (a hash of the set; null for an empty one)."""
+    """Columns doc_id, n, node (a hash of the set; null for an empty one), sketch."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, nodes = [], []
+            sizes, nodes, bits = [], [], []
             for _, own in shingle_sets(batch.column(1)):
                 sizes.append(len(own))
                 nodes.append(int(_node(own).view(np.int64)) if len(own) else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())], names=["doc_id", "n", "node"]
-            )
+                bits.append(sketch(own, SKETCH_BITS) if len(own) else None)
+            columns = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(bits, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n", "node", "sketch"])
 
     rows = df.select(named(key).cast("long").alias("doc_id"), named(text).alias("x"))
-    return rows.mapInArrow(made, "doc_id long, n long, node long")
+    return rows.mapInArrow(made, "doc_id long, n long, node long, sketch binary")
 
 
 def postings(df: DataFrame, text: str) -> DataFrame:
@@ -190,36 +214,40 @@ def _choice(rows: dict[str, np.ndarray], dear_df: int) -> dict[str, np.ndarray]:
     } | tops
 
 
-def part_cells(parts: DataFrame) -> DataFrame:
-    """Cells of (node, component), by node."""
-    buckets = bucket_count(parts.sparkSession)
+def part_cells(nodes: DataFrame, parts: DataFrame) -> DataFrame:
+    """Cells of every node with its part of the graph, which is itself where no family linked it, and its sketch, by node."""
+    buckets = bucket_count(nodes.sparkSession)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Packer(_PART, buckets, "node")
         for batch in batches:
             node, part = (batch.column(i).to_numpy().view(np.uint64) for i in range(2))
-            yield from out.add({"node": node, "part": part})
+            bits = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.uint64).reshape(len(node), len(_SKETCH))
+            yield from out.add({"node": node, "part": part} | {name: bits[:, i] for i, name in enumerate(_SKETCH)})
         yield from out.rest()
 
-    return parts.select("node", "component").mapInArrow(made, CELL)
+    return with_part(nodes, parts).select("node", "part", "sketch").mapInArrow(made, CELL)
 
 
-def chosen(shared_cells: DataFrame, parts: DataFrame, dear: int = DEAR) -> DataFrame:
-    """Cells by shingle, with what each node chose, the families it is in, and the part of the graph that those gave it."""
+def with_part(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """`rows` with the part of their node."""
+    known = parts.select("node", F.col("component").alias("part"))
+    return rows.join(known, "node", "left").withColumn("part", F.coalesce("part", "node"))
+
+
+def chosen(shared_cells: DataFrame, nodes: DataFrame, parts: DataFrame, dear: int = DEAR) -> DataFrame:
+    """Cells by shingle, with what each node chose, the families it is in, the part of the graph that those gave it, its sketch."""
     buckets = bucket_count(shared_cells.sparkSession)
 
     def made(table: pa.Table, known_cells: pa.Table) -> pa.Table:
         rows = _choice(unpacked(table.column("cell"), _SHARED), dear)
         known = unpacked(known_cells.column("cell"), _PART)
         order = np.argsort(known["node"])
-        own, part = known["node"][order], known["part"][order]
-        rows["part"] = rows["node"].copy()  # alone, unless some family linked it
-        if len(own):
-            at = np.minimum(np.searchsorted(own, rows["node"]), len(own) - 1)
-            rows["part"] = np.where(own[at] == rows["node"], part[at], rows["node"])
+        at = order[np.searchsorted(known["node"][order], rows["node"])]  # all nodes are known
+        rows |= {name: known[name][at] for name in _PART if name != "node"}
         return pa.Table.from_batches([packed(bucket_of(rows["token"], buckets), rows, _PROBE)])
 
-    return shared_cells.groupBy("bucket").cogroup(part_cells(parts).groupBy("bucket")).applyInArrow(made, CELL)
+    return shared_cells.groupBy("bucket").cogroup(part_cells(nodes, parts).groupBy("bucket")).applyInArrow(made, CELL)
 
 
 def members(shared_cells: DataFrame, dear: int = DEAR) -> DataFrame:
@@ -235,45 +263,113 @@ def members(shared_cells: DataFrame, dear: int = DEAR) -> DataFrame:
     return by_bucket(shared_cells, made, "family long, node long")
 
 
-def family_links(member_rows: DataFrame, nodes: DataFrame, df: DataFrame, key: str, text: str) -> DataFrame:
-    """Edges (x, y) that connect within every family what links there; see `_forest`."""
+def sized(member_rows: DataFrame) -> DataFrame:
+    """Stored rows (family, node, n) of families with several members."""
     member_rows = stored(member_rows, "members")
     sizes = member_rows.groupBy("family").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return stored(member_rows.join(sizes, "family").select("family", "node", "n"), "families")
+
+
+def family_links(member_rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Edges (x, y) that connect what links within blocks of each family; see `_forest`. `member_rows` has the family's size n."""
     blocks = F.ceil(F.col("n") / FAMILY_BLOCK).cast("int")
-    dealt = member_rows.join(sizes, "family").select(
-        "family", "node", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block")
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    # Every member of a family of few is a pivot with a chance of PIVOTS / n: no order, no list of members is needed.
+    pivot = F.pmod(F.xxhash64("family", "node"), F.col("n")) < PIVOTS
+    targets = F.when(pivot, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))
+    dealt = member_rows.join(texts, "node").select("family", F.explode(targets).alias("block"), "node", "text")
+    # Blocks are dealt evenly, also those of one large family.
+    together = dealt.repartition("family", "block").sortWithinPartitions("family", "block", "node")
+    return together.mapInArrow(_forests, "x long, y long").distinct()
+
+
+def family_pairs(member_rows: DataFrame, texts: DataFrame, parts: DataFrame) -> DataFrame:
+    """Pairs (x, y) of a family of several blocks that may link, by their sketches, and lie in different parts."""
+    large = stored(with_part(member_rows.where(F.col("n") > FAMILY_BLOCK), parts), "large-families")
+    sizes = large.groupBy("family", "part").agg(F.count(F.lit(1)).alias("own"))
+    sizes = sizes.groupBy("family").agg(
+        F.max_by("part", F.struct("own", "part")).alias("main"), F.max("own").alias("most"), F.sum("own").alias("all")
     )
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    partners = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.filter(every, lambda o: o != F.col("block")))
-    dealt = stored(dealt, "family-blocks")
-    texts = node_texts(dealt.select("node").distinct(), nodes, df, key, text)
-    # Members of a block lie together before they are repeated for every other block: so near copies stand side by side
-    # in what is shuffled, where they compress to little.
-    members_together = dealt.join(texts, "node").repartition("family", "block").sortWithinPartitions("family", "block", "node")
-    rows = members_together.withColumn("other", F.explode(partners)).select(
-        "family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "text"
+    count = lambda rows: F.ceil(rows / WIDE).cast("int")
+    sizes = sizes.where("most < all").select(
+        "family", "main", count(F.col("all") - F.col("most")).alias("rest_blocks"), count(F.col("most")).alias("main_blocks")
     )
-    # Blocks are dealt evenly, also those of one large family.
-    blocks_together = rows.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "node")
-    return blocks_together.mapInArrow(_forests, "x long, y long").distinct()
+    # Blocks of the largest part come after the others; these meet all, and those meet these.
+    inside, hashed = F.col("part") == F.col("main"), F.xxhash64("node")
+    block = F.when(inside, F.col("rest_blocks") + F.pmod(hashed, "main_blocks")).otherwise(F.pmod(hashed, "rest_blocks"))
+    last = F.when(inside, F.col("rest_blocks")).otherwise(F.col("rest_blocks") + F.col("main_blocks")) - 1
+    dealt = large.join(sizes, "family").select(
+        "family", block.cast("int").alias("block"), F.sequence(F.lit(0), last.cast("int")).alias("others"), "node", "part"
+    )
+    made = F.arrow_udf(_wide_sketch, "n int, bits binary")("text")
+    asked = stored(texts.join(dealt.select("node").distinct(), "node").select("node", made.alias("made")), "sketches")
+    met = dealt.join(asked, "node").withColumn("other", F.explode("others")).select(
+        "family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "part",
+        "made.n", "made.bits",
+    )
+    together = met.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j")
+    return together.mapInArrow(_near_sketches, "x long, y long").distinct()
+
+
+def _wide_sketch(texts: pa.Array) -> pa.Array:
+    """Size and sketch of every set, of 4 to 8 bits a shingle."""
+    own = [s for _, s in shingle_sets(texts)]
+    sizes = pa.array([len(s) for s in own], pa.int32())
+    bits = pa.array([sketch(s, max(64, 4 << (len(s) - 1).bit_length())) if len(s) else b"" for s in own], pa.binary())
+    return pa.StructArray.from_arrays([sizes, bits], names=["n", "bits"])
+
+
+def _near_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for held in _by_block(batches, 3):
+        yield from _near(pa.Table.from_batches(held))
+
+
+def _near(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Pairs of one block (i, i), or between the two of (i, j), that are in different parts and may link."""
+    node, part, n, block = (rows.column(c).to_numpy() for c in ("node", "part", "n", "block"))
+    alone = rows.column("i")[0].as_py() == rows.column("j")[0].as_py()
+    bits = [np.frombuffer(b, dtype=np.uint64) for b in rows.column("bits").to_pylist()]
+    words = np.array([len(b) for b in bits])
+    for width in np.unique(words).tolist():
+        # Linked sets differ by a quarter in size at most, so their sketches are as wide or twice as wide.
+        own = np.flatnonzero((words == width) | (words == 2 * width))
+        narrow = np.stack([bits[i] if words[i] == width else bits[i][:width] ^ bits[i][width:] for i in own])
+        for at in np.flatnonzero(words[own] == width).tolist():
+            i = own[at]
+            fits = (part[own] != part[i]) & (100 * n[own].astype(np.int64) >= 80 * n[i]) & (80 * n[own].astype(np.int64) <= 100 * n[i])
+            # Each pair once: by place within a width, by the narrower one between two.
+            fits &= (words[own] != width) | (np.arange(len(own)) > at)
+            if not alone:
+                fits &= block[own] != block[i]
+            others = np.flatnonzero(fits)
+            differ = np.bitwise_count(narrow[others] ^ narrow[at]).sum(axis=1, dtype=np.int64)
+            found = own[others[differ <= may_differ(n[own[others]].astype(np.int64), np.int64(n[i]))]]
+            if len(found):
+                x, y = np.maximum(node[found], node[i]), np.minimum(node[found], node[i])
+                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["x", "y"])
 
 
 def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks come in order; one at a time is held."""
+    for held in _by_block(batches, 2):
+        yield _forest(held)
+
+
+def _by_block(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[list[pa.RecordBatch]]:
+    """The rows of each block, known by its first `width` columns. Blocks come in order; one at a time is held."""
     held: list[pa.RecordBatch] = []
     current = None
     for batch in batches:
-        keys = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)])
+        keys = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(width)])
         starts = np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)])) if len(batch) else []
         for a, b in zip(starts, [*starts[1:], len(batch)]):
             own = tuple(keys[:, a].tolist())
             if own != current and held:
-                yield _forest(held)
+                yield held
                 held = []
             current = own
             held.append(batch.slice(a, b - a))
     if held:
-        yield _forest(held)
+        yield held
 
 
 FREQUENT = 24  # shingles of more members are counted by a matrix product, others pair by pair
@@ -309,8 +405,8 @@ def _overlaps(docs: np.ndarray, tokens: np.ndarray, size: int) -> np.ndarray:
 
 def _forest(held: list[pa.RecordBatch]) -> pa.RecordBatch:
     """For the members of one block: an edge from each to the first member of its connected part."""
-    nodes = np.concatenate([b.column(3).to_numpy() for b in held])
-    own = [s for b in held for _, s in shingle_sets(b.column(4))]
+    nodes = np.concatenate([b.column(2).to_numpy() for b in held])
+    own = [s for b in held for _, s in shingle_sets(b.column(3))]
     size, n = len(nodes), np.array([len(s) for s in own], dtype=np.float64)
     docs = np.repeat(np.arange(size), n.astype(np.int64))
     common = _overlaps(docs, np.concatenate(own), size)
@@ -431,7 +527,10 @@ def _met(rows, n, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa
         least = -(-4 * (n[x] + n[y]) // 9)
         slack = rows["level"][x] + SLACK + n[x] // 50
         fits &= (rows["pos"][x] < n[x] - least + slack) & (rows["pos"][y] < n[y] - least + slack)
-        yield _pairs(rows, x[fits], y[fits])
+        x, y = x[fits], y[fits]
+        differ = sum((np.bitwise_count(rows[b][x] ^ rows[b][y]).astype(np.int64) for b in _SKETCH), np.zeros(len(x), np.int64))
+        near = differ <= may_differ(n[x], n[y])
+        yield _pairs(rows, x[near], y[near])
 
 
 def _same_family(rows: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -501,11 +600,15 @@ def edges(
     """(documents with n and node, nodes with rep, edges between nodes that connect what links)."""
     documents = stored(sets(df, key, text), "sets")
     known = documents.where(F.col("node").isNotNull() & F.col("doc_id").isNotNull())
-    nodes = stored(known.groupBy("node").agg(F.min("doc_id").alias("rep")), "nodes")
+    nodes = known.groupBy("node").agg(F.min("doc_id").alias("rep"), F.any_value("sketch").alias("sketch"))
+    nodes = stored(nodes, "nodes")
     cells = stored(shared(postings(df.where(named(key).isNotNull()), text)), "shared")
-    within = stored(family_links(members(cells, dear), nodes, df, key, text), "family-edges")
+    member_rows = sized(members(cells, dear))
+    texts = node_texts(member_rows.select("node").distinct(), nodes, df, key, text)
+    within = stored(family_links(member_rows, texts), "family-edges")
     parts = components(within, "x", "y")
-    crossing = verified(candidates(probe_pairs(chosen(cells, parts, dear))), nodes, df, key, text)
+    met = candidates(probe_pairs(chosen(cells, nodes, parts, dear))).unionByName(family_pairs(member_rows, texts, parts))
+    crossing = verified(met, nodes, df, key, text)
     return documents, nodes, stored(within.unionByName(crossing).distinct(), "edges")
 
 
