@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -22,7 +24,9 @@ from tripspark.llm import (
     quality_rules,
     repeated_spans,
 )
+from tripspark.llm.packed import rising
 from tripspark.llm.queries import QUERIES
+from tripspark.llm.text_blocks import grams
 
 BENCHMARK = [(1, "a few words in it so that it has"), (2, "one two three"), (None, None), (3, "")]
 
@@ -53,6 +57,37 @@ def test_backoff(odd, empty):
     assert backoff_scores.scored(empty).count() == 0
 
 
+def test_rising_is_the_stable_order():
+    rng = np.random.default_rng(3)
+    far = rng.integers(0, 1 << 64, 1000, dtype=np.uint64)
+    near = np.uint64(7 << 50) + rng.integers(0, 4, 500, dtype=np.uint64)  # the upper bits of many are equal
+    ends = np.array([(1 << 64) - 1, 0, (1 << 64) - 1, 1, 0], dtype=np.uint64)
+    for keys in (far, near, ends, near[:0], near[:1], near[:2], far[[5] * 9], np.concatenate((far, near, ends, far))):
+        assert np.array_equal(rising(keys), np.argsort(keys, kind="stable"))
+
+
+def test_backoff_orders_the_ngrams_once(monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices("abcdefgh", k=400)) for _ in range(9)] + ["", None, "a b", "a b a b a b"]
+    words = backoff_scores._all_words(pa.chunked_array([texts]))
+    occurring = {n: grams(words, n)[0] for n in (1, 2, 3)}
+    tables = {n: Counter(own.tolist()) for n, own in occurring.items()}
+    for n, own in occurring.items():
+        counts = np.arange(len(own))
+        sums = Counter()
+        for g, c in zip(own.tolist(), counts.tolist()):
+            sums[g] += c
+        assert backoff_scores._totals(own, counts).tolist() == [sums[g] for g in own.tolist()], n
+
+    sorted_again, unique = [], np.unique
+    monkeypatch.setattr(np, "unique", lambda rows, *a, **k: sorted_again.append(len(rows)) or unique(rows, *a, **k))
+    known = lambda n, own: np.array([tables[n][g] for g in own.tolist()])
+    full, total = backoff_scores._scores(words, known, 3, len(words.doc))
+    assert sum(sorted_again) < len(words.doc)  # was six times as many as there are words
+    for (n_words, n_full, score), f, t in zip(brute.backoff([(0, text) for text in texts]), full, total):
+        assert (n_full, score) == (f, round(t / n_words, 6) if n_words else None)
+
+
 def test_classifier_without_labels(spark, odd, empty):
     labels = spark.createDataFrame([(1, 1, 0), (4, None, 0), (None, 0, 0)], "doc_id long, quality int, toxic int")
     model = compression_classifier.trained(odd, labels)

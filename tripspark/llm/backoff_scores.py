@@ -25,6 +25,9 @@ other columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,7 +45,7 @@ from tripspark.llm.chunked import (
     text_bytes,
 )
 from tripspark.llm.frames import named
-from tripspark.llm.packed import bucket_of
+from tripspark.llm.packed import bucket_of, rising
 from tripspark.llm.text_blocks import Words, blocks, grams, word_counts, words_of
 
 ORDER = 3
@@ -81,47 +84,66 @@ def asked(chunks: DataFrame, buckets: int, order: int = ORDER) -> DataFrame:
     return chunks.groupBy("chunk").applyInArrow(made, ASKED)
 
 
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where each row begins that differs from the one before."""
+    begins = np.zeros(len(columns[0]), dtype=bool)
+    begins[:1] = True
+    for column in columns:
+        begins[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(begins)
+
+
 def _totals(own: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """One part of the count tables: the sum over all chunks for every n-gram that was asked for."""
-    _, place = np.unique(own, return_inverse=True)
-    sums = np.zeros(int(place.max(initial=-1)) + 1, dtype=np.int64)
-    np.add.at(sums, place, counts)
-    return sums[place]
+    order = rising(own)
+    starts = _starts(own[order])
+    totals = np.zeros(len(own), dtype=np.int64)
+    if len(starts):
+        totals[order] = np.repeat(np.add.reduceat(counts[order], starts), np.diff(starts, append=len(own)))
+    return totals
 
 
 _SCORED = "doc_id long, n_words long, n_full long, score double"
 
 
-def _others(words: Words, n: int, totals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For every n-gram occurrence: its count in all other documents, and the place of its first word."""
-    own, places = grams(words, n)
-    distinct, place = np.unique(own, return_inverse=True)
-    key = words.doc[places] * np.int64(len(distinct) + 1) + place
-    _, at, mine = np.unique(key, return_inverse=True, return_counts=True)
-    return totals[place] - mine[at], places
-
+def _others(words: Words, n: int, totals: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """By the place of its first word: every n-gram's count in all other documents; `totals` knows those of rising n-grams.
 
-def _scores(words: Words, totals: dict[int, np.ndarray], order: int, corpus: int) -> tuple[np.ndarray, np.ndarray]:
+    The n-grams are brought in order once. Equal ones stay in the order of their documents, so those of one document
+    are neighbours too.
+    """
+    own, places = grams(words, n)
+    order = rising(own)
+    own, places = own[order], places[order]
+    starts = _starts(own)
+    known = np.repeat(totals(own[starts]), np.diff(starts, append=len(own)))
+    mine = np.diff(_starts(own, words.doc[places]), append=len(own))
+    others = np.zeros(len(words.doc) + 1, dtype=np.float64)
+    others[places] = known - np.repeat(mine, mine)
+    return others
+
+
+def _scores(
+    words: Words, totals: Callable[[int, np.ndarray], np.ndarray], order: int, corpus: int
+) -> tuple[np.ndarray, np.ndarray]:
     """Per document: n-grams found at the full order, and the sum of logarithms."""
     m = len(words.doc)
-    rest = (corpus - words.counts[words.doc]).astype(np.float64)
-    left = {}
-    for n in range(1, order + 1):
-        others, places = _others(words, n, totals.get(n, np.zeros(0, dtype=np.int64)))
-        left[n] = np.zeros(m + 1, dtype=np.float64)
-        left[n][places] = others  # by first word
-    with np.errstate(divide="ignore"):
-        value = np.where(left[1][:m] > 0, np.log(left[1][:m]) - np.log(rest), np.log(BACKOFF) - np.log(rest + 1))
+    rest = (corpus - words.counts).astype(np.float64)  # per document
+    left = {n: _others(words, n, partial(totals, n)) for n in range(1, order + 1)}
+    with np.errstate(divide="ignore", invalid="ignore"):
+        known = np.log(left[1][:m]) - np.log(rest)[words.doc]
+        value = np.where(left[1][:m] > 0, known, (np.log(BACKOFF) - np.log(rest + 1))[words.doc])
         full = np.zeros(m, dtype=bool)
         for n in range(2, order + 1):
             last = np.arange(n - 1, m)
             inside = words.doc[last] == words.doc[last - n + 1] if m >= n else np.zeros(0, dtype=bool)
             last = last[inside]
             count, context = left[n][last - n + 1], left[n - 1][last - n + 1]
-            found = count > 0
-            value[last] = np.where(found, np.log(count) - np.log(context), np.log(BACKOFF) + value[last])
+            found = np.flatnonzero(count > 0)
+            value[last] += np.log(BACKOFF)
+            value[last[found]] = np.log(count[found]) - np.log(context[found])
             if n == order:
-                full[last] = found
+                full[last[found]] = True
     size = len(words.counts)
     return np.bincount(words.doc, weights=full, minlength=size), np.bincount(words.doc, weights=value, minlength=size)
 
@@ -137,10 +159,10 @@ def scored(df: DataFrame, key: str = "doc_id", text: str = "text", order: int =
     def made(left: pa.Table, right: pa.Table) -> pa.Table:
         docs = documents(left.column("cell"))
         words = _all_words(docs.column("text"))
-        known = {}
-        for n in range(1, order + 1):
-            own = np.unique(grams(words, n)[0])
-            known[n] = _question(own, n, buckets).answers(right, "i8")
+
+        def known(n: int, own: np.ndarray) -> np.ndarray:
+            return _question(own, n, buckets).answers(right, "i8")
+
         full, total = _scores(words, known, order, size)
         counts = words.counts
         mean = np.where(counts > 0, total / np.maximum(counts, 1), np.nan)

@@ -29,6 +29,30 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
+def rising(keys: np.ndarray) -> np.ndarray:
+    """np.argsort(keys, kind="stable") of evenly spread 64-bit keys, in a fraction of its time.
+
+    One sort of plain numbers: the upper bits of a key and, below them, its place. Different keys of equal upper bits are
+    few and are put in order afterwards.
+    """
+    n = len(keys)
+    if n < 2:
+        return np.arange(n)
+    least = keys.min()
+    width = int(keys.max() - least).bit_length()
+    low = np.uint64((1 << (n - 1).bit_length()) - 1)
+    both = ((keys - least) << np.uint64(min(64 - width, 63)) & ~low) | np.arange(n, dtype=np.uint64)
+    both.sort()
+    order = (both & low).astype(np.int64)
+    own, upper = keys[order], both & ~low
+    clash = np.unique(upper[1:][(upper[1:] == upper[:-1]) & (own[1:] != own[:-1])])
+    if len(clash):
+        starts, ends = np.searchsorted(upper, clash), np.searchsorted(upper, clash, side="right")
+        places = np.concatenate([np.arange(a, b) for a, b in zip(starts.tolist(), ends.tolist())])
+        order[places] = order[places][np.argsort(own[places], kind="stable")]
+    return order
+
+
 def packed(bucket: np.ndarray, columns: dict[str, np.ndarray], layout: Layout) -> pa.RecordBatch:
     """One cell per bucket; rows keep their order within it."""
     order = np.argsort(bucket, kind="stable")
